@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hunkmill.llm import caps, neardup, splits
+from hunkmill.llm import caps, encoding, looks, neardup, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": caps.p2_found,
         "p4_found": neardup.p4_found,
         "p4_groups": neardup.p4_groups,
+        "p6_ids": encoding.p6_ids,
+        "p8_found": looks.p8_found,
+        "p8_form": looks.p8_form,
+        "p8_groups": looks.p8_groups,
     }
 
 
