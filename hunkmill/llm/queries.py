@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hunkmill.llm import caps, encoding, looks, neardup, splits
+from hunkmill.llm import caps, encoding, leaks, looks, neardup, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": neardup.p4_found,
         "p4_groups": neardup.p4_groups,
         "p6_ids": encoding.p6_ids,
+        "p7_found": leaks.p7_found,
+        "p7_items": leaks.p7_items,
+        "p7_clean": leaks.p7_clean,
         "p8_found": looks.p8_found,
         "p8_form": looks.p8_form,
         "p8_groups": looks.p8_groups,
