@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hunkmill.llm import caps, encoding, leaks, looks, neardup, splits
+from hunkmill.llm import caps, encoding, leaks, looks, neardup, pairs, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_forest": splits.p1_forest,
         "p1_splits": splits.p1_splits,
         "p2_found": caps.p2_found,
+        "p3_found": pairs.p3_found,
+        "p3_flags": pairs.p3_flags,
         "p4_found": neardup.p4_found,
         "p4_groups": neardup.p4_groups,
         "p6_ids": encoding.p6_ids,
