@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hunkmill import workspace
+from hunkmill import registry, workspace
+from hunkmill.operators import curation  # noqa: F401  registers its queries
 from hunkmill.operators.deliveries import DeliveryLedger
 
 #: Deliveries of this many last days of the crawl come to the ledger as the second batch.
@@ -35,8 +36,8 @@ where place > 1
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found}
+    return {**registry.QUERIES, "p5_found": p5_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5_SQL}
+    return {**registry.SQL, "p5_found": P5_SQL}
