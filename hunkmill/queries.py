@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hunkmill import registry, workspace
-from hunkmill.operators import curation, diffs, examples, findings, limiter, shards  # noqa: F401  they register their queries
+from hunkmill.operators import curation, diffs, evaluation, examples, findings, limiter, shards  # noqa: F401  they register their queries
 from hunkmill.operators.deliveries import DeliveryLedger
 
 #: Deliveries of this many last days of the crawl come to the ledger as the second batch.
