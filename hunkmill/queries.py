@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hunkmill import registry, workspace
-from hunkmill.operators import curation, diffs, evaluation, examples, findings, hybrid, limiter, rendering, shards  # noqa: F401  they register their queries
+from hunkmill.operators import curation, diffs, evaluation, examples, findings, hybrid, limiter, rendering, scalars, scans, shards  # noqa: F401  they register their queries
 from hunkmill.operators.deliveries import DeliveryLedger
 from hunkmill.plans import pipelines  # noqa: F401
 from hunkmill.streaming import ingest  # noqa: F401

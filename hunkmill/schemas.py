@@ -5,8 +5,34 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+PLAIN = {"bigint": T.LongType(), "int": T.IntegerType(), "float": T.FloatType(), "string": T.StringType(), "boolean": T.BooleanType()}
+
+
+def _fields(text: str) -> list[str]:
+    """Split at the commas outside angle brackets."""
+    out, depth, last = [], 0, 0
+    for k, c in enumerate(text):
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append(text[last:k].strip())
+            last = k + 1
+    return [*out, text[last:].strip()]
+
+
+def _type(text: str) -> T.DataType:
+    text = text.strip()
+    if text.startswith("array<"):
+        return T.ArrayType(_type(text[6:-1]))
+    if text.startswith("struct<"):
+        pairs = [f.split(":", 1) for f in _fields(text[7:-1])]
+        return T.StructType([T.StructField(n.strip(), _type(t)) for n, t in pairs])
+    return PLAIN[text]
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """A schema from its text, without a session; data sources load this module in workers."""
+    pairs = [f.split(" ", 1) for f in _fields(text)]
+    return T.StructType([T.StructField(n, _type(t)) for n, t in pairs])
 
 
 REVIEW_COMMENT = _struct(

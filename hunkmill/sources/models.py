@@ -126,10 +126,7 @@ def tokenizer_columns(texts: Column, path: str) -> Column:
         made = Tokenizer.from_str(definition)
         made.encode_special_tokens = True
         for batch in batches:
-            known = batch.notna()
-            out = pd.Series([None] * len(batch), dtype=object)
-            encoded = made.encode_batch(batch[known].tolist(), add_special_tokens=False)
-            out[known.to_numpy()] = [e.ids for e in encoded]
-            yield out
+            encoded = made.encode_batch([t or "" for t in batch], add_special_tokens=False)
+            yield pd.Series([None if t is None else e.ids for t, e in zip(batch, encoded, strict=True)], dtype=object)
 
     return ids(texts)
