@@ -55,6 +55,10 @@ def _unseen(ch: str) -> bool:
 def drawing_table() -> dict[int, str | None]:
     """Code point to what replaces it, from the rules above."""
     table: dict[int, str | None] = {}
+    letters: dict[int, str | None] = {}
+    for source, target in ((CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS), (ARMENIAN, ARMENIAN_AS)):
+        letters |= dict(zip(map(ord, source), target, strict=True))
+    letters |= dict.fromkeys(map(ord, HYPHENS), "-")
     for n in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= n <= 0xF8FF or 0x20000 <= n < 0xE0000 or n >= 0xF0000:
             continue
@@ -73,10 +77,8 @@ def drawing_table() -> dict[int, str | None]:
             if tag in ALIKE:
                 made = unicodedata.normalize("NFKC", ch)
                 if " " not in made:  # a mark standing alone has no plain counterpart
-                    table[n] = made
-    for source, target in ((CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS), (ARMENIAN, ARMENIAN_AS)):
-        table |= dict(zip(map(ord, source), target, strict=True))
-    return table | dict.fromkeys(map(ord, HYPHENS), "-")
+                    table[n] = made.translate(letters)
+    return table | letters
 
 
 def look(text: str, fold_case: bool = False) -> str:
