@@ -183,9 +183,13 @@ def near_pairs(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = workspace.keep(classes.where("id <> rep").select("id"), "copies")
     single = signed.join(_few(copies), "id", "left_anti")
 
-    keys = single.select(F.posexplode("bands").alias("band", "key"), "id")
-    keys = keys.select((F.shiftleft(F.col("band").cast("bigint"), 32) + F.col("key")).alias("key"), "id")
-    met = keys.toDF("key", "a").join(keys.toDF("key", "b"), "key").where("a < b")
+    # the lengths travel with the bands, so most chance meetings end inside the join
+    keys = single.select(F.posexplode("bands").alias("band", "key"), "id", F.least("body_n", F.lit(65535)).alias("body_n"), F.least("hunk_n", F.lit(65535)).alias("hunk_n"))
+    size = F.col("body_n").cast("bigint") * 65536 + F.col("hunk_n") - 2**31
+    keys = keys.select((F.shiftleft(F.col("band").cast("bigint"), 32) + F.col("key")).alias("key"), "id", size.cast("int").alias("size"))
+    met = keys.toDF("key", "a", "size_a").join(keys.toDF("key", "b", "size_b"), "key").where("a < b")
+    for part in (lambda c: F.shiftright(F.col(c) + 2**31, 16), lambda c: (F.col(c) + 2**31).bitwiseAND(F.lit(65535))):
+        met = met.where(F.least(part("size_a"), part("size_b")) * 5 >= FIFTHS * F.greatest(part("size_a"), part("size_b")))
     candidates = met.select("a", "b").distinct()
     sketch = single.select("id", "body_n", "hunk_n", "body_low", "body_high", "hunk_low", "hunk_high")
     a = sketch.toDF(*("a" if c == "id" else f"{c}_a" for c in sketch.columns))
