@@ -5,6 +5,8 @@ A null array gives null.  Ties of an argmax go to the lowest index.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def wide(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; inside a lambda it would be computed for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def total(v: Column) -> Column:
     return F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
 
@@ -31,13 +38,13 @@ def scaled(v: Column, by: Column) -> Column:
 
 
 def l2norm(v: Column, eps: float = 1e-6) -> Column:
-    return scaled(v, 1.0 / F.sqrt(dot(v, v) + eps))
+    return let(1.0 / F.sqrt(dot(v, v) + eps), lambda n: scaled(v, n))
 
 
 def rmsnorm(v: Column, weight: Column, eps: float = 1e-6, one_plus: bool = True) -> Column:
     """Root-mean-square norm, times one plus the weight or the weight itself."""
     norm = 1.0 / F.sqrt(dot(v, v) / F.size(v) + eps)
-    return F.zip_with(v, weight, lambda x, w: x.cast("double") * norm * (w + 1.0 if one_plus else w))
+    return let(norm, lambda n: F.zip_with(v, weight, lambda x, w: x.cast("double") * n * (w + 1.0 if one_plus else w)))
 
 
 def sigmoid(v: Column) -> Column:
@@ -58,15 +65,16 @@ def gated_rmsnorm(v: Column, gate: Column, weight: Column, eps: float = 1e-6) ->
 
 
 def softmax(v: Column) -> Column:
-    top = F.array_max(v).cast("double")
-    raised = F.transform(v, lambda x: F.exp(x.cast("double") - top))
-    return scaled(raised, 1.0 / total(raised))
+    raised = let(F.array_max(v).cast("double"), lambda top: F.transform(v, lambda x: F.exp(x.cast("double") - top)))
+    return let(raised, lambda r: let(1.0 / total(r), lambda n: scaled(r, n)))
 
 
 def log_softmax(v: Column) -> Column:
-    top = F.array_max(v).cast("double")
-    rest = F.log(total(F.transform(v, lambda x: F.exp(x.cast("double") - top))))
-    return F.transform(v, lambda x: x.cast("double") - top - rest)
+    def below(top: Column) -> Column:
+        rest = F.log(total(F.transform(v, lambda x: F.exp(x.cast("double") - top))))
+        return let(rest, lambda r: F.transform(v, lambda x: x.cast("double") - top - r))
+
+    return let(F.array_max(v).cast("double"), below)
 
 
 def argmax(v: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hunkmill.functions import duck, text
 from hunkmill.registry import query
-from hunkmill.workspace import load
+from hunkmill.workspace import load, spread, where_once
 
 MIN_SCORE = 0.4
 REASONS = ("dup", "reply", "bot", "no_diff", "trivial", "low_score", "kept")
@@ -47,7 +47,7 @@ def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20,
         "delivery_id", "id", "in_reply_to_id", F.col("user.login").alias("login"), "pull_request_url", "path", "diff_hunk",
         F.coalesce("body", F.lit("")).alias("raw"),
     )
-    marked = mark_first(slim).join(reply_counts(comments), F.col("id") == F.col("root"), "left").drop("root")
+    marked = mark_first(spread(slim)).join(reply_counts(comments), F.col("id") == F.col("root"), "left").drop("root")
     cheap = (
         F.when(~F.col("is_first"), "dup")
         .when(F.col("in_reply_to_id").isNotNull(), "reply")
@@ -57,11 +57,15 @@ def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20,
     body = F.col("body")
     cleaned = marked.withColumn("reason", cheap).withColumn("replies", F.coalesce("replies", F.lit(0)))
     cleaned = cleaned.withColumn("body", F.when(F.col("reason").isNull(), text.clean_body(F.col("raw"))))
-    scored = cleaned.withColumn("score", F.when(F.col("reason").isNull(), text.design_score(body, F.col("replies"), lexicon)))
-    scored = scored.withColumn("category", F.when(F.col("reason").isNull(), text.category(body, F.col("replies"), lexicon)))
+    # the patterns are the costly part, so their counts are columns of their own, made once
+    design, nit = (F.when(F.col("reason").isNull(), text.hits(body, p)) for p in text.LEXICONS[lexicon])
+    counted = cleaned.withColumn("design", design).withColumn("nit", nit)
+    signals = (body, F.col("replies"), F.col("design"), F.col("nit"))
+    scored = counted.withColumn("score", F.when(F.col("reason").isNull(), text.score_of(*signals)))
+    scored = scored.withColumn("category", F.when(F.col("reason").isNull(), text.category_of(*signals)))
     low = F.col("score") < F.lit(min_score).cast("float")
     late = F.when(text.is_trivial(body, min_len), "trivial").when(low, "low_score").otherwise("kept")
-    return scored.withColumn("reason", F.coalesce("reason", late)).drop("raw", "is_first")
+    return scored.withColumn("reason", F.coalesce("reason", late)).drop("raw", "is_first", "design", "nit")
 
 
 def chat_records(curated: DataFrame, system: str = text.SYSTEM) -> DataFrame:
@@ -77,7 +81,8 @@ def chat_records(curated: DataFrame, system: str = text.SYSTEM) -> DataFrame:
         F.col("score").alias("design_score"), F.col("replies").cast("int").alias("reply_count"),
     )
     messages = F.array(message("system", F.lit(system)), message("user", user), message("assistant", F.col("body")))
-    return curated.where("reason = 'kept'").select(messages.alias("messages"), meta.alias("meta"))
+    kept = where_once(curated, F.col("reason") == "kept")
+    return kept.select(messages.alias("messages"), meta.alias("meta"))
 
 
 def threshold_sweep(curated: DataFrame, thresholds: tuple[float, ...]) -> DataFrame:
@@ -85,12 +90,10 @@ def threshold_sweep(curated: DataFrame, thresholds: tuple[float, ...]) -> DataFr
 
     One pass: every row adds to the buckets of all thresholds it reaches, without a join.
     """
-    scored = curated.where("reason in ('low_score', 'kept')")
+    scored = where_once(curated, F.col("reason").isin("low_score", "kept")).select("score", "category", F.floor(F.octet_length("body") / 4).alias("tokens"))
     reached = [F.when(F.col("score") >= F.lit(t).cast("float"), F.lit(float(t))) for t in thresholds]
-    rows = scored.select(F.explode(F.array_compact(F.array(*reached))).alias("threshold"), "category", "body")
-    return rows.groupBy("threshold", "category").agg(
-        F.count("*").alias("n"), F.sum(F.floor(F.octet_length("body") / 4)).alias("tokens")
-    )
+    rows = scored.select(F.explode(F.array_compact(F.array(*reached))).alias("threshold"), "category", "tokens")
+    return rows.groupBy("threshold", "category").agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens"))
 
 
 FUNNEL_CTE = f"""
@@ -182,7 +185,7 @@ def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {FUNNEL_CTE} select delivery_id, reason, category, round(score::double, 4) as score from funnel where early is null")
 def design_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = funnel(load(spark, sf_dir, "review_comments"))
-    return curated.where("score is not null").select("delivery_id", "reason", "category", F.round(F.col("score").cast("double"), 4).alias("score"))
+    return where_once(curated, F.col("score").isNotNull()).select("delivery_id", "reason", "category", F.round(F.col("score").cast("double"), 4).alias("score"))
 
 
 @query(f"with {FUNNEL_CTE} select reason, count(*) as n from funnel group by 1")
@@ -195,7 +198,7 @@ def curation_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from funnel where reason = 'kept' group by 1"""
 )
 def category_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = funnel(load(spark, sf_dir, "review_comments")).where("reason = 'kept'").withColumn("s", F.col("score").cast("double"))
+    kept = where_once(funnel(load(spark, sf_dir, "review_comments")), F.col("reason") == "kept").withColumn("s", F.col("score").cast("double"))
     return kept.groupBy("category").agg(
         F.count("*").alias("n"), F.round(F.avg("s"), 6).alias("mean_score"), F.round(F.median("s"), 6).alias("median_score")
     )

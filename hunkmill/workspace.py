@@ -11,7 +11,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
 
@@ -51,6 +52,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/hunkmill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """In as many partitions as there are cores, if it has fewer: one small file is one task otherwise.
+
+    Inputs with more splits than cores, and so all large ones, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def where_once(df: DataFrame, condition: Column) -> DataFrame:
+    """As ``where``, for conditions made of costly columns.
+
+    A plain filter would be pushed below the projections that make those columns, and make them twice.
+    """
+    return df.select(F.explode(F.when(condition, F.array(F.struct("*")))).alias("r")).select("r.*")
+
+
 def keep(df: DataFrame, label: str, partitions: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return a DataFrame that reads it back.
 
