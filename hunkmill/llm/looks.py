@@ -39,8 +39,8 @@ HYPHENS = "‐‑﹣－"
 #: Kinds of compatibility mapping whose two sides look alike.
 ALIKE = {"<wide>", "<narrow>", "<noBreak>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>"}
 #: Characters that join emoji; inside such a sequence they are seen.
-JOINED = re.compile("(?<=[☀-➿\U0001f000-\U0001faff️])‍(?=[☀-➿\U0001f000-\U0001faff])")
-_HOLD = ""
+JOINED = re.compile("(?<=[\u2600-\u27bf\U0001f000-\U0001faff\ufe0f])\u200d(?=[\u2600-\u27bf\U0001f000-\U0001faff])")
+_HOLD = "\ue000"
 
 
 def _unseen(ch: str) -> bool:
@@ -86,10 +86,10 @@ def look(text: str, fold_case: bool = False) -> str:
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
     if not text.isascii():
-        held = JOINED.sub(_HOLD, text) if "‍" in text else text
+        held = JOINED.sub(_HOLD, text) if "\u200d" in text else text
         drawn = unicodedata.normalize("NFC", held).translate(drawing_table())
         # a mark may now follow a letter it composes with
-        text = unicodedata.normalize("NFC", drawn).replace(_HOLD, "‍")
+        text = unicodedata.normalize("NFC", drawn).replace(_HOLD, "\u200d")
     return text.casefold() if fold_case else text
 
 
@@ -123,8 +123,12 @@ def same_looks(documents: DataFrame) -> DataFrame:
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id_a, doc_id_b), doc_id_a < doc_id_b: documents that look the same but are stored differently."""
     alike = workspace.keep(same_looks(workspace.load(spark, sf_dir, "documents")), "alike")
-    a, b = alike.toDF("doc_id_a", "look", "raw_a"), alike.toDF("doc_id_b", "look", "raw_b")
-    return a.join(b, "look").where("doc_id_a < doc_id_b and raw_a <> raw_b").select("doc_id_a", "doc_id_b")
+    # stored forms are paired first, so copies of one form never meet each other
+    kinds = alike.select("look", "raw").distinct()
+    pairs = kinds.toDF("look", "raw_a").join(kinds.toDF("look", "raw_b"), "look").where("raw_a < raw_b")
+    a, b = alike.toDF("doc_a", "look", "raw_a"), alike.toDF("doc_b", "look", "raw_b")
+    met = pairs.join(a, ["look", "raw_a"]).join(b, ["look", "raw_b"])
+    return met.select(F.least("doc_a", "doc_b").alias("doc_id_a"), F.greatest("doc_a", "doc_b").alias("doc_id_b"))
 
 
 def p8_form(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,3 +147,32 @@ def p8_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.join(classes, "look", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("stored_forms", F.lit(1)).alias("stored_forms")
     )
+
+
+def form_sql(e: str) -> str:
+    """DuckDB SQL of :func:`look`, made from the same table."""
+
+    def q(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    table = drawing_table().items()
+    one = {chr(k): v for k, v in table if v is not None and len(v) == 1}
+    many = {chr(k): v for k, v in table if v is not None and len(v) > 1}
+    gone = "".join(chr(k) for k, v in table if v is None)
+    e = f"replace(replace({e}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+    emoji = r"[\x{2600}-\x{27bf}\x{1f000}-\x{1faff}\x{fe0f}]"
+    for _ in range(2):  # joined sequences overlap
+        e = rf"regexp_replace({e}, '({emoji})\x{{200d}}({emoji})', '\1' || chr(57344) || '\2', 'g')"
+    e = f"translate(nfc_normalize({e}), {q(''.join(one) + gone)}, {q(''.join(one.values()))})"
+    for k, v in many.items():
+        e = f"replace({e}, {q(k)}, {q(v)})"
+    return f"replace(nfc_normalize({e}), chr(57344), chr(8205))"
+
+
+def oracle_sql() -> dict[str, str]:
+    forms = f"f as (select doc_id, text, {form_sql('text')} as form from documents)"
+    pairs = r"""select a.doc_id as doc_id_a, b.doc_id as doc_id_b from f a join f b on a.form = b.form and a.doc_id < b.doc_id and a.text <> b.text
+        where regexp_matches(a.form, '\S')"""
+    groups = """c as (select form, min(doc_id) as class_id, count(distinct text) as stored_forms from f where form is not null group by 1)
+        select doc_id, coalesce(class_id, doc_id) as class_id, coalesce(stored_forms, 1) as stored_forms from f left join c using (form)"""
+    return {"p8_found": f"with {forms} {pairs}", "p8_form": f"with {forms} select doc_id, form from f", "p8_groups": f"with {forms}, {groups}"}

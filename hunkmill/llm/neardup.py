@@ -239,3 +239,16 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.join(grouped, "rep", "left").select(
         "id", F.coalesce("group_id", "rep").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links")
     )
+
+
+P4_SQL = r"""with kept as (select id, body, diff_hunk from review_comments where id is not null
+    qualify row_number() over (partition by id order by cast(updated_at as timestamptz) desc nulls last, delivery_id) = 1),
+words as (select id, 'b' as side, unnest(regexp_extract_all(lower(body), '[\p{L}\p{N}]+')) as w from kept
+    union all select id, 'h', unnest(regexp_extract_all(lower(diff_hunk), '[\p{L}\p{N}]+')) from kept),
+els as (select id, side, w, row_number() over (partition by id, side, w) as k, count(*) over (partition by id, side) as n from words),
+hunks as (select a.id as id_a, b.id as id_b from els a join els b on a.side = 'h' and b.side = 'h' and a.w = b.w and a.k = b.k and a.id < b.id
+    and 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) group by a.id, b.id, a.n, b.n having 5 * count(*) >= 4 * greatest(a.n, b.n)),
+bodies as (select h.id_a, h.id_b from hunks h join els a on a.id = h.id_a and a.side = 'b' join els b on b.id = h.id_b and b.side = 'b' and a.w = b.w and a.k = b.k
+    group by h.id_a, h.id_b, a.n, b.n having 5 * count(*) >= 4 * greatest(a.n, b.n))
+select id_a, id_b from bodies
+"""

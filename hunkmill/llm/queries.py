@@ -30,4 +30,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": caps.P2_SQL}
+    return {"p1_found": splits.P1_SQL, "p2_found": caps.P2_SQL, "p4_found": neardup.P4_SQL} | looks.oracle_sql()

@@ -181,3 +181,21 @@ def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, group_id, split) of every distinct comment."""
     groups = workspace.keep(related_groups(workspace.load(spark, sf_dir, "review_comments"))[0], "groups")
     return deal(groups, shares_of(workspace.load(spark, sf_dir, "curation_settings")))
+
+
+P1_SQL = r"""with recursive
+clean as (select id, regexp_replace(regexp_replace(lower(pull_request_url), '[\x{ad}\x{200b}-\x{200f}\x{2060}\x{feff}]', '', 'g'), '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g') as u,
+    regexp_replace(regexp_replace(path, '[\x{ad}\x{200b}-\x{200f}\x{2060}\x{feff}]', '', 'g'), '^[\s\x{a0}]+|[\s\x{a0}]+$', '', 'g') as p from review_comments where id is not null),
+parts as (select id, regexp_extract(u, '(?:^|/)([^/\s?#]+/[^/\s?#]+)/(?:pulls?|issues?)/0*([0-9]+)(?:[/?#].*)?$', 1) as repo,
+    regexp_extract(u, '(?:^|/)([^/\s?#]+/[^/\s?#]+)/(?:pulls?|issues?)/0*([0-9]+)(?:[/?#].*)?$', 2) as num,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(p, '\\', '/', 'g'), '/+', '/', 'g'), '/(?:\./)+', '/', 'g'), '^(?:\.?/)+', ''), '^[ab]/', '') as f from clean),
+keys as (select distinct id, unnest([repo || '#' || num, case when f <> '' then repo || ' ' || f end]) as key from parts),
+hubs as (select key, min(id) as hub from keys where key is not null group by 1),
+edges as (select distinct id as a, hub as b from keys join hubs using (key) where id <> hub),
+both_ways as (select a, b from edges union select b, a from edges),
+cc(id, g) using key (id) as (
+  select distinct id, id as g from clean
+  union
+  select e.b, min(n.g) from cc n join both_ways e on e.a = n.id join recurring.cc o on o.id = e.b where n.g < o.g group by e.b)
+select id, g as group_id from cc
+"""

@@ -83,6 +83,13 @@ def test_look_pairs_against_brute_force(spark):
     assert looks.same_looks(df.limit(0)).count() == 0
 
 
+def test_copies_of_one_form_never_meet(spark, monkeypatch):
+    rows = [(k, "LGTM") for k in range(3000)] + [(5000, "LGT\u041c"), (5001, "LGTM\u200b")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(looks.workspace, "load", lambda *_: df)
+    assert looks.p8_found(spark, "").count() == 2 * 3000 + 1
+
+
 ITEM = "the remaining guard keeps one explicit row while every caller of the parser reads its index twice and so the patch never ends before the deadline of another older batch comes around again".split()
 NOISE = "we copy this value only to drop it later because nobody ever looks at what comes back from there anyway".split()
 
