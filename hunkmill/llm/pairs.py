@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -160,7 +161,10 @@ def prose(text: str) -> str:
 def language(text: str) -> str | None:
     """Script, and within Latin the language, of the prose; null where too little is left to tell."""
     said = prose(text)
-    letters = {name: len(shape.findall(said)) for name, shape in SCRIPTS}
+    if said.isascii():
+        letters = {name: 0 for name, _ in SCRIPTS} | {"latin": sum(map(len, WORD.findall(said)))}
+    else:
+        letters = {name: len(shape.findall(said)) for name, shape in SCRIPTS}
     total = sum(letters.values())
     if total < 4:
         return None
@@ -208,9 +212,13 @@ FINAL = re.compile(r"[.!?。！？…]['\")\]*_~`»”’）」]*$")
 LAST = re.compile(r"([^\W\d_]+)\W*$")
 
 
+HUMP = re.compile(r".*[a-z0-9](?=[A-Z])")
+
+
+@lru_cache(maxsize=100_000)
 def pieces(word: str) -> str:
     """The last part of an identifier or word, in lower case."""
-    return re.sub(r".*[a-z0-9](?=[A-Z])", "", word.rsplit("_", 1)[-1]).lower()
+    return HUMP.sub("", word.rsplit("_", 1)[-1]).lower()
 
 
 def ending(answer: str) -> tuple[str, str | None, str | None]:
@@ -317,8 +325,8 @@ def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows.append((ident, *judge(prompt, answer, system), None, 0, 0, 0, 0, 0))
             if answer:
                 count_endings(answer, counts)
-            for word in TOKEN.findall(prompt or ""):
-                counts.setdefault(pieces(word), [0, 0, 0, 0, 0])[4] += 1
+            for word, uses in Counter(TOKEN.findall(prompt or "")).items():
+                counts.setdefault(pieces(word), [0, 0, 0, 0, 0])[4] += uses
         yield pd.DataFrame(rows, columns=names)
         if len(counts) > 200_000:
             yield flush()
