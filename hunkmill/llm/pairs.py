@@ -26,11 +26,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hunkmill import workspace
 
+ROLES = ("user", "assistant", "system")
 DEFECTS = ("empty", "copied", "refusal", "language", "truncated")
 
 # What may stand before or instead of an answer when it is declined.  English, German,
@@ -110,11 +111,9 @@ TOKEN = re.compile(r"[^\W_]+")
 INVISIBLE = re.compile("[\\s ­͏ᅟᅠ᠎​-‏ -  -⁤⠀　ㅤ︀-️﻿]")
 
 
-def first_of(messages, role: str) -> str | None:
-    """Content of the first message with the role."""
-    if messages is None:
-        return None
-    return next((m["content"] for m in messages if m is not None and m["role"] == role), None)
+def first_of(messages: str, role: str) -> Column:
+    """Content of the first message with the role; null if there is none."""
+    return F.try_element_at(F.filter(messages, lambda m: m["role"] == role), F.lit(1))["content"]
 
 
 def visible(text: str | None) -> str:
@@ -320,8 +319,7 @@ def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for frame in frames:
         rows = []
-        for ident, messages in zip(frame["record_id"], frame["messages"], strict=True):
-            prompt, answer, system = (first_of(messages, r) for r in ("user", "assistant", "system"))
+        for ident, prompt, answer, system in zip(*(frame[c] for c in ("record_id", *ROLES)), strict=True):
             rows.append((ident, *judge(prompt, answer, system), None, 0, 0, 0, 0, 0))
             if answer:
                 count_endings(answer, counts)
@@ -335,7 +333,8 @@ def _judged(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def flag_pairs(records: DataFrame) -> DataFrame:
     """(record_id, defects): every triggered defect of each defective record, in the rules' order."""
-    passed = workspace.keep(records.select("record_id", "messages").mapInPandas(_judged, PASSED), "judged")
+    turns = records.select("record_id", *(first_of("messages", r).alias(r) for r in ROLES))
+    passed = workspace.keep(turns.mapInPandas(_judged, PASSED), "judged")
     judged = passed.where("word is null").select("record_id", "defects", "before", "last")
     sums = [F.sum(c).alias(c) for c in ("n", "ends", "after_det", "det_ends", "coded")]
     words = workspace.keep(passed.where("word is not null").groupBy("word").agg(*sums), "words")
