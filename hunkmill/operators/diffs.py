@@ -222,7 +222,7 @@ def diff_segment_hunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    rf"""with {NUMBERED_CTE} select doc, f, h, pos, kind, old_no, new_no, case when line[1] in ('+', '-', ' ') then line[2:] else line end as text
+    rf"""with {NUMBERED_CTE} select doc, f, h, pos::integer as pos, kind, old_no, new_no, case when line[1] in ('+', '-', ' ') then line[2:] else line end as text
     from numbered where kind in ('ctx', 'add', 'del')"""
 )
 def diff_segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

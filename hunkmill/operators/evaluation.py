@@ -108,7 +108,7 @@ def softplus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vectors(spark, sf_dir).select("vec_id", *_summary(V.softplus(F.col("v"))))
 
 
-@query(f"with {VEC} select vec_id, list_position(v, list_max(v)) - 1 as best, list_sort(v, 'desc')[1] as top, list_sort(v, 'desc')[5] as fifth from v")
+@query(f"with {VEC} select vec_id, (list_position(v, list_max(v)) - 1)::bigint as best, list_sort(v, 'desc')[1] as top, list_sort(v, 'desc')[5] as fifth from v")
 def argmax_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = V.top_k(F.col("v"), 5)
     return _vectors(spark, sf_dir).select("vec_id", V.argmax(F.col("v")).alias("best"), top[0]["value"].alias("top"), top[4]["value"].alias("fifth"))
@@ -135,11 +135,11 @@ def dot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("s", score).orderBy(F.desc("s"), "vec_id").limit(10).select("vec_id", F.round("s", 5).alias("score"))
 
 
-@query(f"with {VEC} select vec_id, list_transform(range(1, 5), lambda r: round(list_sum(list_transform(v, lambda x, i: x * sin(r * i))), 6)) as out from v")
+@query(f"with {VEC} select vec_id, " + ", ".join(f"round(list_sum(list_transform(v, lambda x, i: x * sin({r} * i))), 6) as out_{r}" for r in range(1, 5)) + " from v")
 def linear_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vector through a fixed 4-row matrix."""
     rows = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda r: F.transform("v", lambda _, i: F.sin(r * (i + 1))))
-    return _vectors(spark, sf_dir).select("vec_id", _rounded(V.linear(F.col("v"), rows)).alias("out"))
+    return _vectors(spark, sf_dir).select("vec_id", _rounded(V.linear(F.col("v"), rows)).alias("out")).select("vec_id", *(F.col("out")[r - 1].alias(f"out_{r}") for r in range(1, 5)))
 
 
 @query(
@@ -211,13 +211,13 @@ def distinct_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select vec_id, list_transform(range(0, 6), lambda j: case when j <= vec_id % 6 and (j >= vec_id % 3 or j = vec_id % 6) then 1 else 0 end) as open from embeddings"""
+    """select vec_id, array_to_string(list_transform(range(0, 6), lambda j: case when j <= vec_id % 6 and (j >= vec_id % 3 or j = vec_id % 6) then 1 else 0 end), '') as open from embeddings"""
 )
 def pad_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of a padded causal mask per vector: which columns are open."""
     mask = V.pad_mask(F.lit(6), F.pmod("vec_id", F.lit(3)))
     row = F.element_at(mask, (F.pmod("vec_id", F.lit(6)) + 1).cast("int"))
-    return load(spark, sf_dir, "embeddings").select("vec_id", F.transform(row, lambda x: F.when(x == 0, 1).otherwise(0)).alias("open"))
+    return load(spark, sf_dir, "embeddings").select("vec_id", F.array_join(F.transform(row, lambda x: F.when(x == 0, "1").otherwise("0")), "").alias("open"))
 
 
 @query()

@@ -177,13 +177,13 @@ def chat_record_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """with m as (select vec_id, list_transform(embedding, lambda x: (x > 0)::integer) as mask from embeddings)
-    select vec_id, list_transform(mask, lambda x, i: (list_sum(mask[1:i]) - 1)::integer) as at from m"""
+    select vec_id, array_to_string(list_transform(mask, lambda x, i: (list_sum(mask[1:i]) - 1)::integer), ',') as places from m"""
 )
 def running_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of each number among the positive ones so far."""
     mask = F.transform("embedding", lambda x: F.when(x > 0, 1).otherwise(0))
     rows = load(spark, sf_dir, "embeddings").select("vec_id", mask.alias("mask"))
-    return rows.select("vec_id", examples.positions_of(F.col("mask")).alias("at"))
+    return rows.select("vec_id", F.array_join(examples.positions_of(F.col("mask")).cast("array<string>"), ",").alias("places"))
 
 
 @query(
@@ -205,10 +205,10 @@ def gather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "embeddings").select("vec_id", *(F.round(got[i], 6).alias(x) for i, x in enumerate("abc")))
 
 
-@query("select vec_id, list_transform(range(0, 6), lambda i: round(embedding[i // 2 + 1]::double, 6)) as v from embeddings")
+@query("select vec_id, " + ", ".join(f"round(embedding[{i // 2 + 1}]::double, 6) as v_{i}" for i in range(6)) + " from embeddings")
 def repeat_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = V.repeat_each(F.slice(F.transform("embedding", lambda x: F.round(x.cast("double"), 6)), 1, 3), 2)
-    return load(spark, sf_dir, "embeddings").select("vec_id", v.alias("v"))
+    return load(spark, sf_dir, "embeddings").select("vec_id", v.alias("v")).select("vec_id", *(F.col("v")[i].alias(f"v_{i}") for i in range(6)))
 
 
 @query("select doc_id, n_chars from documents order by n_chars desc nulls last, doc_id limit 20")
