@@ -48,8 +48,26 @@ def _forget(path: str) -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder; ``label`` only helps a human reading it."""
-    return f"{shared_root(spark)}/hunkmill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; ``label`` only helps a human reading it.
+
+    The application's part of the folder is deleted when the driver's interpreter ends; tables that an
+    iteration no longer needs go earlier, by :func:`forget`.
+    """
+    own = f"{shared_root(spark)}/hunkmill/{spark.sparkContext.applicationId}"
+    if own not in _SCRATCH:
+        _SCRATCH.add(own)
+        atexit.register(_drop_at_end, spark, own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+_SCRATCH: set[str] = set()
+
+
+def _drop_at_end(spark: SparkSession, path: str) -> None:
+    try:
+        drop_path(spark, path)
+    except Exception:  # the JVM may have ended first; the folder then stays
+        pass
 
 
 def spread(df: DataFrame) -> DataFrame:
