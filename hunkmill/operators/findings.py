@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hunkmill import workspace
 from hunkmill.functions import duck, text
 from hunkmill.operators.diffs import hunk_start
 from hunkmill.registry import query
@@ -313,17 +314,19 @@ def label_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def number_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
     """Rows numbered from 1 in the order of a column without repeats, in parallel.
 
-    Rows are range-partitioned; a window numbers each partition, and the partitions' sizes, one row
-    each, give the offsets.
+    Rows are range-partitioned, sorted and written once with their partition's number and their place in it;
+    the partitions' sizes, one row each, give the offsets.  Both read the written table: two shuffles of the
+    same rows needn't be cut or merged alike.
     """
     from pyspark.sql import Window as W
 
-    ranged = rows.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
+    at = F.monotonically_increasing_id()  # the partition's number, then 33 bits for the place
+    ranged = workspace.keep(rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_at", at), "ranged")
+    ranged = ranged.withColumns({"_part": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1})
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    inner = F.row_number().over(W.partitionBy("_part").orderBy(order))
-    numbered = ranged.withColumn("_row", inner).join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
-    return numbered.withColumn(name, F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
+    numbered = ranged.join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    return numbered.withColumn(name, F.col("_row") + F.col("_before")).drop("_part", "_row", "_before", "_at")
 
 
 HUNKS_SQL = "select path, regexp_extract(diff_hunk, '^[^\\n]*') as header, delivery_id from review_comments where path is not null and diff_hunk is not null"

@@ -63,3 +63,13 @@ def test_numbers_are_those_of_the_order(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"))
     rows = findings.number_rows(df.repartition(5), "k", "n").orderBy("k").collect()
     assert [r.n for r in rows] == list(range(1, 1001))
+
+
+def test_wide_rows_are_all_numbered_once(spark):
+    """The wide columns are read too, so that the counts' side of the plan is much narrower than the rows'."""
+    n = 100_000
+    wide = [F.sha2(F.concat_ws("-", "id", F.lit(k)), 512).alias(f"c{k}") for k in range(8)]
+    df = spark.range(n).select(F.xxhash64("id").alias("k"), *wide)
+    numbered = findings.number_rows(df.repartition(7), "k", "n").withColumn("long", F.length(F.concat(*[f"c{k}" for k in range(8)])))
+    got = numbered.agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n"), F.countDistinct("k"), F.sum("long"))
+    assert tuple(got.first()) == (n, n, 1, n, n, n * 8 * 128)
