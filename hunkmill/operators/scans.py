@@ -6,7 +6,7 @@ import json
 import os
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hunkmill import schemas, workspace
@@ -49,14 +49,23 @@ def findings_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("finding_id", "session_id", F.col("human.verdict").alias("human"), F.col("machine.verdict").alias("machine"))
 
 
-def forge_pages(spark: SparkSession, sf_dir: str, size: int = 500) -> str:
-    """Pages of the comments whose time is in the plain form, written by the tasks; the folder's path.
+def utc_text(stamp: str) -> Column:
+    """An RFC 3339 text in the forge's form, UTC and without an empty fraction, in any session; other texts stay."""
+    micros = F.unix_micros(F.try_to_timestamp(F.col(stamp)))
+    local = F.timestamp_add("MICROSECOND", micros, F.expr("timestamp_ntz'1970-01-01 00:00:00'")).cast("string")
+    return F.coalesce(F.concat(F.replace(local, F.lit(" "), F.lit("T")), F.lit("Z")), stamp)
 
-    Pages are ranges of ``updated_at``; the index, one row per page, is written by the driver.
+
+def forge_pages(rows: DataFrame, size: int = 500) -> str:
+    """Pages of all given comments, written by the tasks; the folder's path.
+
+    ``updated_at`` is written as the forge does, in UTC; pages are ranges of it, rows without a time come first.
+    The index, one row per page, is written by the driver.
     """
     from hunkmill.operators.findings import number_rows
 
-    rows = load(spark, sf_dir, "review_comments").where(F.col("updated_at").rlike("^[0-9T:-]{19}Z$"))
+    spark = rows.sparkSession
+    rows = rows.withColumn("updated_at", utc_text("updated_at"))
     numbered = number_rows(rows.withColumn("place", F.struct("updated_at", "delivery_id")), "place", "n")
     page = F.floor((F.col("n") - 1) / size).alias("page")
     folder = workspace.scratch_path(spark, "pages").removeprefix("file://")
@@ -70,24 +79,29 @@ def forge_pages(spark: SparkSession, sf_dir: str, size: int = 500) -> str:
         name = f"page-{int(frame['page'].iloc[0]):08d}.json"
         with open(os.path.join(folder, name), "w") as f:
             f.write("[" + ",".join(frame["row"]) + "]")
-        return pd.DataFrame([(name, frame["updated_at"].iloc[0], frame["updated_at"].iloc[-1])], columns=["name", "first", "last"])
+        return pd.DataFrame([(name, frame["updated_at"].iloc[0], frame["updated_at"].iloc[-1])], columns=["name", "first", "last"]).fillna("")
 
-    index = slim.groupBy("page").applyInPandas(write, "name string, first string, last string").orderBy("name").collect()
+    index = slim.groupBy("page").applyInPandas(write, "name string, first string, last string").collect()
     os.makedirs(folder, exist_ok=True)
     with open(os.path.join(folder, "index.json"), "w") as f:
-        json.dump({"pages": [list(r) for r in index]}, f)
+        json.dump({"pages": sorted(list(r) for r in index)}, f)
     return folder
 
 
 PLAIN = "regexp_matches(updated_at, '^[0-9T:-]{19}Z$')"
 
 
+def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comments that the two queries below are defined over, by their SQL: those with a time in the plain form."""
+    return load(spark, sf_dir, "review_comments").where(F.col("updated_at").rlike("^[0-9T:-]{19}Z$"))
+
+
 @query(f"select id, updated_at from review_comments where {PLAIN} and updated_at >= '2023-01-01T00:00:00Z' and updated_at < '2025-01-01T00:00:00Z'")
 def forge_windowed_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four windows of time, one task each, with the upper bound pushed into the scan."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(forge.ForgeComments)
-    pages = forge_pages(spark, sf_dir)
+    pages = forge_pages(_plain(spark, sf_dir))
     reader = spark.read.format("forge_comments").option("pages", pages).option("since", "2023-01-01T00:00:00Z").option("workers", 4)
     return reader.load().where("updated_at < '2025-01-01T00:00:00Z'").select("id", "updated_at")
 
@@ -96,7 +110,7 @@ def forge_windowed_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as a stream into the shared folder; rows at a mark come twice and are told apart by identifier."""
     spark.dataSource.register(forge.ForgeComments)
-    pages = forge_pages(spark, sf_dir, 2000)
+    pages = forge_pages(_plain(spark, sf_dir), 2000)
     out, check = workspace.scratch_path(spark, "crawl"), workspace.scratch_path(spark, "crawl-check")
     stream = spark.readStream.format("forge_comments").option("pages", pages).option("pages_per_batch", 1_000_000).load()
     q = stream.writeStream.format("json").option("checkpointLocation", check).trigger(once=True).start(out)

@@ -168,10 +168,11 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         pages = Pages(self.folder)
-        if self.workers <= 1 or not pages.index:
+        timed = [at for p in pages.index for at in p[1:] if at]  # rows without a time have an empty one
+        if self.workers <= 1 or not timed:
             return [Window(self.since, self.until)]
-        first = self.since or min(p[1] for p in pages.index)
-        last = self.until.rstrip("\0") if self.until else stamp(seconds(max(p[2] for p in pages.index)) + 1)
+        first = self.since or min(timed)
+        last = self.until.rstrip("\0") if self.until else stamp(seconds(max(timed)) + 1)
         cuts = windows(seconds(first), seconds(last), self.workers)
         out = [Window(stamp(a), stamp(b)) for a, b in cuts if a < b]
         if out:

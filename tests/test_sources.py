@@ -136,3 +136,26 @@ def test_review_run(spark):
     made, calls = pipelines.review(diff, "o/n", 3, "s", "t", Echo)
     assert sorted(r.critic_comment for r in made.collect()) == ["one", "two"]
     assert {r.status for r in calls.collect()} == {"ok"}
+
+
+def test_pages_hold_rows_with_any_form_of_time(spark):
+    from pyspark.sql import functions as F
+
+    from hunkmill.operators import scans
+
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(forge.ForgeComments)
+    times = ["2024-01-01T00:00:00Z", "2024-01-01T01:30:00+02:00", "2023-12-31T23:00:00.000Z", "2023-12-31T20:00:00-05:00", "2024-01-01T02:00:00.250Z", None]
+    whole = ["2024-01-01T00:00:00Z", "2023-12-31T23:30:00Z", "2023-12-31T23:00:00Z", "2024-01-01T01:00:00Z", "2024-01-01T02:00:00.25Z", None]
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.REVIEW_COMMENT.fields if f.name not in ("id", "updated_at")]
+    rows = spark.createDataFrame([(k, k, t) for k, t in enumerate(times)], "id bigint, delivery_id bigint, updated_at string").select("*", *blank)
+    for size in (2, 100):
+        pages = scans.forge_pages(rows, size)
+        for workers in (1, 3):
+            df = spark.read.format("forge_comments").option("pages", pages).option("workers", workers).load()
+            assert sorted((r.id, r.updated_at) for r in df.collect()) == list(enumerate(whole))
+    window = spark.read.format("forge_comments").option("pages", pages).option("since", "2023-12-31T23:30:00Z").option("workers", 2).load()
+    assert sorted(r.id for r in window.where("updated_at < '2024-01-01T01:00:00Z'").collect()) == [0, 1]
+    table = spark.read.parquet("/root/testdata/sf0.001/review_comments.parquet")
+    df = spark.read.format("forge_comments").option("pages", scans.forge_pages(table, 50)).option("workers", 4).load()
+    assert (df.count(), df.where("updated_at not rlike '^[0-9T:-]{19}Z$'").count()) == (200, 0)
