@@ -9,8 +9,9 @@ Ordered rules look at the first user and the first assistant message of a record
 5. ``truncated``: a delimiter stays open, or the text ends where no sentence can end.
 
 The last rule uses the corpus: how often, over all answers, a word ends a sentence, by itself and behind
-a determiner.  Only the last words of answers without a final mark are looked up, in counts that are
-aggregated on the map side and joined, so their number is no matter.
+a determiner, beside the corpus's own share, and how rare it is beside the longer words that begin with it.
+These are ratios, so that a table's size doesn't matter.  Only the last words of answers without a final
+mark are looked up, in counts that are aggregated on the map side and joined, so their number is no matter.
 
 ``flag_pairs`` emits every triggered defect; ``first_defect`` keeps the first, as the rules are ordered.
 
@@ -254,10 +255,16 @@ def ending(answer: str) -> tuple[str, str | None, str | None]:
     return "ask", before, pieces(last)
 
 
-#: An ending is abrupt if this word, used this often in answers, never ended a sentence.
-OFTEN = 20
-#: ... or if, behind a determiner, used this often, it ended fewer than one sentence in 500.
-MODIFIER_USES, MODIFIER_ENDS = 100, 500
+#: Uses, at the corpus's share of sentence ends, that are added to a word's own; so a few uses prove little.
+PRIOR, PRIOR_MODIFIER = 2, 10
+#: An ending is abrupt if the word's share of sentence ends is under this part of the corpus's share,
+SELDOM = 0.1
+#: ... or, behind a determiner, that behind determiners is,
+SELDOM_MODIFIER = 0.1
+#: ... or, for a word rarer than the longer words that begin with it, if it is under this part, while
+SELDOM_HEAD = 0.75
+#: one in so many uses of the longer words counts as a use that ended no sentence.
+COMPLETIONS = 200
 #: Answers of at most so many words are replies, which need no full sentence.
 REPLY_WORDS = 5
 MARKS = re.compile(r"[^\W_]+(?:_[^\W_]+)*|`[^`]*`|[.!?;:,)\n]+")
@@ -341,16 +348,21 @@ def flag_pairs(records: DataFrame) -> DataFrame:
 
     asked = judged.where("last is not null").select("last").distinct()
     known = asked.join(words, asked["last"] == words["word"], "left")
-    unseen = known.where("word is null").select("last")
-    heads = words.select(F.explode(F.expr("transform(sequence(1, greatest(1, length(word) - 1)), k -> left(word, k))")).alias("last"))
-    cut_off = heads.where("length(last) > 0").join(unseen, "last", "left_semi").distinct().withColumn("cut", F.lit(True))
-    facts = known.join(cut_off, "last", "left")
-    often = (F.col("n") >= OFTEN) & (F.col("ends") == 0)
-    modifier = (F.col("after_det") >= MODIFIER_USES) & (F.col("det_ends") * MODIFIER_ENDS < F.col("after_det"))
+    heads = words.select(F.explode(F.expr("transform(sequence(1, greatest(1, length(word) - 1)), k -> left(word, k))")).alias("last"), "word", "n")
+    heads = heads.where("length(last) > 0 and last <> word").join(asked, "last", "left_semi").groupBy("last").agg(F.sum("n").alias("longer"))
+    base = words.agg(F.try_divide(F.sum("ends"), F.sum("n")).alias("base"), F.try_divide(F.sum("det_ends"), F.sum("after_det")).alias("det_base"))
+    facts = known.join(heads, "last", "left").crossJoin(F.broadcast(base))
+    uses, longer = F.col("n") + PRIOR, F.coalesce("longer", F.lit(0))
+    share = lambda more: (F.col("ends") + PRIOR * F.col("base")) / (uses + more)
+    often = share(F.lit(0)) < SELDOM * F.col("base")
+    unseen = F.col("word").isNull() & F.col("longer").isNotNull()
+    cut = unseen | ((F.col("n") < longer) & (share(longer / COMPLETIONS) < SELDOM_HEAD * F.col("base")))
+    det_share = (F.col("det_ends") + PRIOR_MODIFIER * F.col("det_base")) / (F.col("after_det") + PRIOR_MODIFIER)
+    modifier = det_share < SELDOM_MODIFIER * F.col("det_base")
     open_word = F.col("last").isin(sorted(OPEN_WORDS - CLOSERS))
     facts = facts.select(
         "last",
-        (open_word | F.coalesce("cut", F.lit(False)) | F.coalesce(often, F.lit(False))).alias("never"),
+        (open_word | F.coalesce(cut, F.lit(False)) | F.coalesce(often, F.lit(False))).alias("never"),
         F.coalesce(modifier, F.lit(False)).alias("modifier"),
     )
     known_end = judged.join(facts, "last", "left")

@@ -95,3 +95,25 @@ def test_table(spark):
     got = sorted((r.record_id, tuple(r.defects)) for r in pairs.flag_pairs(df).collect())
     assert got == [(100, ("truncated",)), (101, ("truncated",)), (103, ("empty",)), (104, ("empty",)), (106, ("empty",)), (107, ("copied",)), (107, ("copied",))]
     assert pairs.flag_pairs(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("times", [1, 100])
+def test_cut_off_words_are_found_at_any_size(spark, times):
+    """A part of a word that is also used alone, a few times or once at a sentence's end; and a plain word that has longer ones."""
+    say = lambda a: [("user", PROMPT), ("assistant", a)]
+    rows = [(k, say("The default of the caller is derived from the deferred index, and we see the action of the caller.")) for k in range(60 * times)]
+    rows += [(1000_000 + k, say("The der value of the caller is read by the index.")) for k in range(4 * times)]
+    rows += [(2000_000 + k, say("They all wait for the lock and then they act.")) for k in range(6 * times)]
+    ends = ["The outer guard keeps what the caller turns into the der", "The outer guard keeps it until the callers act"]
+    if times > 1:
+        rows.append((3000_000, say("Some people would rather call it a def.")))
+        ends.append("The outer guard keeps the value that we forget in def")
+    rows += [(-1 - k, say(a)) for k, a in enumerate(ends)]
+    df = spark.createDataFrame(rows, f"record_id bigint, messages {M}")
+    got = {r.record_id: r.defects for r in pairs.flag_pairs(df).collect()}
+    assert got == {k: ["truncated"] for k in ((-1, -3) if times > 1 else (-1,))}
+
+
+def test_a_table_without_determiners(spark):
+    df = spark.createDataFrame([(1, [("user", PROMPT), ("assistant", "Callers keep index values while readers wait")])], f"record_id bigint, messages {M}")
+    assert pairs.flag_pairs(df).count() == 0
