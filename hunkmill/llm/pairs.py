@@ -298,7 +298,7 @@ def judge(prompt: str | None, answer: str | None, system: str | None) -> tuple[l
     if refuses(answer):
         found.append("refusal")
     spoken = language(answer)
-    if spoken and not found:
+    if spoken:
         asked = language(prompt or "") or language(system or "") or "en"
         if spoken != asked:
             found.append("language")

@@ -117,3 +117,9 @@ def test_cut_off_words_are_found_at_any_size(spark, times):
 def test_a_table_without_determiners(spark):
     df = spark.createDataFrame([(1, [("user", PROMPT), ("assistant", "Callers keep index values while readers wait")])], f"record_id bigint, messages {M}")
     assert pairs.flag_pairs(df).count() == 0
+
+
+def test_a_refusal_in_another_language_has_both_defects():
+    said = "Es tut mir leid, aber ich kann diesen Code nicht bewerten, und das ist auch nicht meine Aufgabe."
+    assert pairs.judge(PROMPT, said, None)[0] == ["refusal", "language"]
+    assert pairs.judge(PROMPT, "I must decline to answer this. My policies do not allow it.", None)[0] == ["refusal"]
