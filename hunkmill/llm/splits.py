@@ -108,17 +108,27 @@ def contract(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
 def related_groups(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(id, group_id) of every distinct identifier, and the spanning forest as (u, v) of identifiers.
 
-    Each key is first replaced by the smallest identifier it binds, by an aggregation that combines
+    Each key is first replaced by the smallest identifier it binds, its hub, by an aggregation that combines
     on the map side; so a pull request with a third of all comments is one node, not a hot group.
+
+    The ends of each edge of the forest share a key, and a group of n records has n - 1 edges: a comment that
+    is no hub hangs on its first one, and an edge between hubs that such a comment ties is led through it.
+    Records of null identifiers stand in the forest under their negative numbers.
     """
     bound = workspace.keep(bindings(comments), "bindings")
     hub = bound.where("key is not null").groupBy("key").agg(F.min("id").alias("hub"))
     linked = workspace.keep(bound.join(hub, "key", "left").select("id", F.coalesce("hub", "id").alias("hub")).distinct(), "links")
     workspace.forget(bound)
     first = linked.groupBy("id").agg(F.min("hub").alias("first"), F.max("hub").alias("last"), F.count("*").alias("n"))
-    ends = linked.join(first.where("n > 2"), "id").select(F.col("first").alias("u"), F.col("hub").alias("v"))
-    edges = first.where("n > 1").select(F.col("first").alias("u"), F.col("last").alias("v")).unionByName(ends)
-    nodes, forest = contract(edges)
+    node = F.col("last") == F.col("id")  # hubs aren't larger than what they bind
+    via = F.when(~node, F.col("id")).alias("via")
+    ends = linked.join(first.where("n > 2"), "id").select(F.when(node, F.col("id")).otherwise(F.col("first")).alias("u"), F.col("hub").alias("v"), via)
+    edges = first.where("n > 1").select(F.col("first").alias("u"), F.col("last").alias("v"), via).unionByName(ends)
+    nodes, between = contract(edges)
+    ties = edges.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.min(F.struct(F.col("via").isNotNull(), "via")).alias("t"))
+    start = F.coalesce("t.via", "u")
+    led = between.join(ties, ["u", "v"]).select(F.least(start, "v").alias("u"), F.greatest(start, "v").alias("v"))
+    forest = led.unionByName(first.where(~node).select(F.col("first").alias("u"), F.col("id").alias("v")))
     rooted = first.select("id", "first").join(nodes, F.col("first") == F.col("node"), "left")
     member = rooted.select("id", F.coalesce("root", "first").alias("root")).where("id >= 0 or root is not null")
     label = member.where("id >= 0").groupBy("root").agg(F.min("id").alias("group_id"))

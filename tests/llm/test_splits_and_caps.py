@@ -118,3 +118,30 @@ def test_caps_edge_cases(spark):
     same = spark.createDataFrame([(5, "a", 0.5, "", 1)] * 7, CAP)
     assert caps.beyond_cap(same, 3, "who", "score", "ident").count() == 4
     assert [caps.share_limit(n, 25) for n in (0, 39, 40, 100)] == [1, 1, 1, 2]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_forest_proves_the_groups(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randint(1, 120), f"https://api.forge.example/repos/o{rng.randint(0, 3)}/n/pulls/{rng.randint(1, 30)}", rng.choice([None, *[f"f{k}" for k in range(40)]]), 7, "x") for _ in range(150)]
+    rows += [(k, "https://api.forge.example/repos/alone/n/pulls/1", None, 7, "x") for k in range(500, 540)]
+    groups, forest = splits.related_groups(spark.createDataFrame(rows, SCHEMA))
+    group = {r.id: r.group_id for r in groups.collect()}
+    edges = [(r.u, r.v) for r in forest.collect()]
+    assert len(edges) == len(group) - len(set(group.values()))
+    keys = defaultdict(set)
+    for i, url, path, *_ in rows:
+        repo, number = re.search(r"repos/(.+)/pulls/(\d+)", url).groups()
+        keys[i] |= {number + " of " + repo} | ({repo + " " + path} if path else set())
+    assert all(keys[u] & keys[v] for u, v in edges)
+    parent = {i: i for i in group}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        assert find(u) != find(v)
+        parent[find(u)] = find(v)
+    assert len({find(i) for i in group}) == len(set(group.values()))
