@@ -2,17 +2,26 @@
 
 A text is the bag of its words; the n-th copy of a word is an element of its own, so bags are sets.
 Each permutation gives two signature values, the smallest and the largest hash of the bag, from
-one evaluation per element.  A band is the minimum and maximum of the body under one permutation with
-those of the hunk under two.  Two comments that share a band are candidates; candidates whose one-bit
-signatures or lengths rule the threshold out are dropped, and each of the rest is measured exactly.
+one evaluation per element.  A band is the minimum and maximum of the body under one permutation, those
+of the hunk under one, and the minimum (even bands) or maximum (odd bands) of the hunk under another that
+two bands share.  Two comments that share a band are candidates; candidates whose lengths or parity
+bitmaps rule the threshold out are dropped, and each of the rest is measured exactly.  Both tests are
+bounds that hold for every pair, so they lose nothing.
 
 Comments with equal bags are one class, represented by its smallest identifier, before any pair is
 formed, so exact copies cost nothing.  The bands are joined, not collected, and pairs are written
 only where they are results.
 
+A band that many classes share (many bodies on one hunk, or a stock body on like hunks) would pair all of
+them.  Such hot bands are found by their share of a sample of classes and leave the join; their members
+are searched by prefix filtering instead, which is exact: two bags that share four fifths of the longer
+one's elements also share one of the first ``n // 5 + 1`` elements of either in any common order, here
+rare ones first.  This holds for the body and for the hunk, so each member looks only on the side whose
+first elements are rarer, among all members' first elements of that side.
+
 With both texts at the threshold (four fifths of equally long bags, Jaccard 2/3) a band agrees with
-probability (2/3)^6 = 0.088, so ``BANDS`` = 56 bands miss 0.6 % of such pairs; where one text shares
-nine tenths, one in 30,000 is missed.  Recall is measured in the tests.
+probability (2/3)^5 = 0.132, so ``BANDS`` = 36 bands miss 0.6 % of such pairs; where one text shares
+nine tenths, one in 10,000 is missed.  Recall is measured in the tests.
 
 Defined results:
 
@@ -32,13 +41,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from hunkmill import workspace
 from hunkmill.operators.deliveries import instant_us, preference
 
-BANDS = 56
-#: Of 128 one-bit signature values this many agree at least; 106 are expected at the threshold, with deviation 4.2.
-LEAST_BITS = 90
+BANDS = 36
+#: Bits of the parity bitmaps of a body and of a hunk.
+BITMAPS = (128, 256)
+#: A band is hot if, of one class in ``HOT_SAMPLE``, at least ``HOT_SEEN`` have it: if about 256 classes share it.
+#: Either way of search is complete, so the sample decides on cost only.
+HOT_SAMPLE, HOT_SEEN = 64, 4
+#: An element that makes up at least one in so many of all counted ones is broadcast with its count: so many rows at most.
+COMMON = 1000
 #: At least this many fifths of the longer text's words must be shared.
 FIFTHS = 4
 #: Identifiers that may be broadcast to fetch the candidates' texts: 16 bytes each, 32 MB at most.
@@ -95,43 +110,53 @@ def _minmax(elements: np.ndarray, lengths: np.ndarray, permutations: list) -> tu
     return low, high
 
 
-def _bits(low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit words of one bit per minimum and maximum."""
-    return [
-        np.packbits((_mix(x[:, :64], 9) >> np.uint64(63)).astype(np.uint8), axis=1, bitorder="little").view(np.uint64)[:, 0]
-        for x in (low, high)
-    ]
+def _parity(elements: np.ndarray, lengths: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Bitmaps of ``bits`` bits as 64-bit words: each element flips one bit.
 
+    Two bags that differ in d elements differ in at most d bits, so n + m - (bits that differ) is at least
+    twice the number of elements that bags of n and m elements share.
+    """
+    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    place = _mix(elements, 11) >> np.uint64(32)
+    flip = np.uint64(1) << (place & np.uint64(63))
+    word = (place >> np.uint64(6)) % np.uint64(bits // 64)
+    return [np.bitwise_xor.reduceat(np.where(word == w, flip, np.uint64(0)), starts) for w in range(bits // 64)]
 
+
+PARITY = [[f"{field}_{w}" for w in range(bits // 64)] for field, bits in zip(("body", "hunk"), BITMAPS, strict=True)]
 SIGNED = (
     "id bigint, delivery_id bigint, cls_a bigint, cls_b bigint, body_n int, hunk_n int, "
-    "body_low bigint, body_high bigint, hunk_low bigint, hunk_high bigint, bands array<int>"
+    + ", ".join(f"{c} bigint" for side in PARITY for c in side)
+    + ", bands array<bigint>"
 )
 
 
 def _signed(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.RecordBatch]:
-    hashes, permutations = _Hashes(), _permutations(2 * max(bands, 64))
+    hashes, permutations = _Hashes(), _permutations(2 * bands)
+    shared = np.arange(bands) // 2  # two bands share a permutation of the hunk
+    even = np.arange(bands) % 2 == 0
     for batch in batches:
         parts = [bags(batch.column(c).to_pylist(), hashes) for c in ("body", "diff_hunk")]
         full = (parts[0][1] > 0) & (parts[1][1] > 0)
         n = int(full.sum())
         if not n:
             continue
-        keys, cls = np.zeros((n, bands), np.uint64), [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
+        # the band's number is part of its key
+        keys = np.repeat(_mix(np.arange(1, bands + 1, dtype=np.uint64), 40)[None, :], n, axis=0)
+        cls = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
         counts, bits = [], []
         for side, (elements, lengths) in enumerate(parts):
             elements, lengths = elements[np.repeat(full, lengths)], lengths[full]
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
             for k in (0, 1):
                 cls[k] = _mix(cls[k] + np.add.reduceat(_mix(elements, k + 5), starts), side + 2)
-            low, high = _minmax(elements, lengths, permutations[: max(bands, 64) * (side + 1)])
-            for turn in range(side + 1):
-                own = slice(turn * bands, (turn + 1) * bands)
-                keys = _mix(_mix(keys + low[:, own], 3 * side + turn + 1) + high[:, own], 3 * side + turn + 70)
+            low, high = _minmax(elements, lengths, permutations[: bands + side * ((bands + 1) // 2)])
+            keys = _mix(_mix(keys + low[:, :bands], 2 * side + 1) + high[:, :bands], 2 * side + 70)
+            if side:
+                keys = _mix(keys + np.where(even, low[:, bands + shared], high[:, bands + shared]), 90)
             counts.append(pa.array(lengths.astype(np.int32)))
-            bits += [pa.array(x.view(np.int64)) for x in _bits(low, high)]
-        values = pa.array((keys.reshape(-1) >> np.uint64(32)).astype(np.uint32).view(np.int32))
-        listed = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * bands, bands, dtype=np.int32)), values)
+            bits += [pa.array(x.view(np.int64)) for x in _parity(elements, lengths, BITMAPS[side])]
+        listed = pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * bands, bands, dtype=np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
         mask = pa.array(full)
         kept = [batch.column(c).filter(mask) for c in ("id", "delivery_id")]
         columns = [*kept, *(pa.array(c.view(np.int64)) for c in cls), *counts, *bits, listed]
@@ -173,6 +198,62 @@ def _alike(a: str, b: str) -> F.Column:
     return shared * 5 >= FIFTHS * F.greatest(F.size(a), F.size(b))
 
 
+def _fits(n_a: str, n_b: str) -> F.Column:
+    """Whether bags of these sizes can share four fifths of the longer one."""
+    return F.least(n_a, n_b) * 5 >= FIFTHS * F.greatest(n_a, n_b)
+
+
+def _bags_of(comments: DataFrame, single: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """(id, body_bag, hunk_bag) of the classes with these identifiers; only the small side is shuffled if it is small."""
+    wanted = workspace.keep(single.select("id", "delivery_id").join(ids, "id", "left_semi"), "wanted")
+    texts = comments.select("delivery_id", "body", "diff_hunk").join(_few(wanted), "delivery_id").dropDuplicates(["delivery_id"])
+    made = texts.select("id", "body", "diff_hunk").mapInArrow(_bagged, "id bigint, body_bag array<bigint>, hunk_bag array<bigint>")
+    return workspace.keep(made, label)
+
+
+def prefix_pairs(bag: DataFrame) -> DataFrame:
+    """(a, b), a < b: pairs among the given bags that prefix filtering can't rule out; no similar pair is missing.
+
+    An element's count combines on the map side, and the few common ones are broadcast, so no element's
+    rows meet in one task before the search itself.
+    """
+    flat = bag.select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("bag")) for k, c in ((0, "body_bag"), (1, "hunk_bag"))])).alias("s"))
+    flat = flat.select("id", "s.side", F.size("s.bag").alias("n"), F.explode("s.bag").alias("element"))
+    counts = workspace.keep(flat.groupBy("side", "element").agg(F.count("*").alias("often")), "elements")
+    total = counts.agg(F.sum("often").alias("t")).first().t or 0
+    common = F.broadcast(counts.where(F.col("often") >= max(total / COMMON, 2)))
+    rest = flat.join(common, ["side", "element"], "left_anti").join(counts.where(F.col("often") < max(total / COMMON, 2)), ["side", "element"])
+    counted = flat.join(common, ["side", "element"]).unionByName(rest)
+    at = F.row_number().over(W.partitionBy("id", "side").orderBy("often", "element"))  # one text's elements
+    first = workspace.keep(counted.withColumn("at", at).where("at <= n div 5 + 1").drop("at"), "prefixes")
+    cost = first.groupBy("id", "side").agg(F.sum("often").alias("cost")).groupBy("id").agg(F.min(F.struct("cost", "side")).alias("c"))
+    probe = first.join(cost.select("id", F.col("c.side").alias("side")), ["id", "side"])
+    one, two = probe.select("side", "element", F.col("id").alias("p"), F.col("n").alias("n_p")), first.select("side", "element", F.col("id").alias("q"), F.col("n").alias("n_q"))
+    met = one.join(two, ["side", "element"]).where(_fits("n_p", "n_q") & (F.col("p") != F.col("q")))
+    return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
+def candidates_of(single: DataFrame, comments: DataFrame) -> DataFrame:
+    """(a, b), a < b: the classes that share a band, those of hot bands by :func:`prefix_pairs`."""
+    # the lengths travel with the bands, so most chance meetings end inside the join
+    size = F.least("body_n", F.lit(65535)).cast("bigint") * 65536 + F.least("hunk_n", F.lit(65535)) - 2**31
+    keys = single.select(F.explode("bands").alias("key"), "id", size.cast("int").alias("size"))
+    sample = single.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(HOT_SAMPLE)) == 0).select(F.explode("bands").alias("key"))
+    hot = workspace.keep(sample.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_SEEN).select("key"), "hot")
+    if hot.isEmpty():
+        cold, hot_pairs = keys, None
+    else:
+        few = _few(hot)
+        cold = keys.join(few, "key", "left_anti")
+        members = workspace.keep(keys.join(few, "key", "left_semi").select("id").distinct(), "members")
+        hot_pairs = prefix_pairs(_bags_of(comments, single, members, "hot-bags"))
+    met = cold.toDF("key", "a", "size_a").join(cold.toDF("key", "b", "size_b"), "key").where("a < b")
+    for part in (lambda c: F.shiftright(F.col(c) + 2**31, 16), lambda c: (F.col(c) + 2**31).bitwiseAND(F.lit(65535))):
+        met = met.where(_fits(part("size_a"), part("size_b")))
+    met = met.select("a", "b")
+    return (met if hot_pairs is None else met.unionByName(hot_pairs)).distinct()
+
+
 def near_pairs(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs, classes): verified pairs (rep_a, rep_b) of representatives, and (id, rep) of all comments
     with words in both fields."""
@@ -183,31 +264,17 @@ def near_pairs(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = workspace.keep(classes.where("id <> rep").select("id"), "copies")
     single = signed.join(_few(copies), "id", "left_anti")
 
-    # the lengths travel with the bands, so most chance meetings end inside the join
-    keys = single.select(F.posexplode("bands").alias("band", "key"), "id", F.least("body_n", F.lit(65535)).alias("body_n"), F.least("hunk_n", F.lit(65535)).alias("hunk_n"))
-    size = F.col("body_n").cast("bigint") * 65536 + F.col("hunk_n") - 2**31
-    keys = keys.select((F.shiftleft(F.col("band").cast("bigint"), 32) + F.col("key")).alias("key"), "id", size.cast("int").alias("size"))
-    met = keys.toDF("key", "a", "size_a").join(keys.toDF("key", "b", "size_b"), "key").where("a < b")
-    for part in (lambda c: F.shiftright(F.col(c) + 2**31, 16), lambda c: (F.col(c) + 2**31).bitwiseAND(F.lit(65535))):
-        met = met.where(F.least(part("size_a"), part("size_b")) * 5 >= FIFTHS * F.greatest(part("size_a"), part("size_b")))
-    candidates = met.select("a", "b").distinct()
-    sketch = single.select("id", "body_n", "hunk_n", "body_low", "body_high", "hunk_low", "hunk_high")
+    sketch = single.select("id", "body_n", "hunk_n", *PARITY[0], *PARITY[1])
     a = sketch.toDF(*("a" if c == "id" else f"{c}_a" for c in sketch.columns))
     b = sketch.toDF(*("b" if c == "id" else f"{c}_b" for c in sketch.columns))
-    near = candidates.join(a, "a").join(b, "b")
-    for field in ("body", "hunk"):
-        differ = sum(F.bit_count(F.col(f"{field}_{x}_a").bitwiseXOR(F.col(f"{field}_{x}_b"))) for x in ("low", "high"))
-        small, large = (f(f"{field}_n_a", f"{field}_n_b") for f in (F.least, F.greatest))
-        near = near.where((small * 5 >= FIFTHS * large) & (differ <= 128 - LEAST_BITS))
-    near = workspace.keep(near.select("a", "b").distinct(), "near")
-
-    wanted = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = workspace.keep(single.select("id", "delivery_id").join(wanted, "id", "left_semi"), "wanted")
-    texts = comments.select("delivery_id", "body", "diff_hunk").join(_few(wanted), "delivery_id").dropDuplicates(["delivery_id"])
-    bag = workspace.keep(
-        texts.select("id", "body", "diff_hunk").mapInArrow(_bagged, "id bigint, body_bag array<bigint>, hunk_bag array<bigint>"),
-        "bags",
-    )
+    near = candidates_of(single, comments).join(a, "a").join(b, "b")
+    for field, words in zip(("body", "hunk"), PARITY, strict=True):
+        differ = sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words)
+        n_a, n_b = f"{field}_n_a", f"{field}_n_b"
+        near = near.where(_fits(n_a, n_b) & ((F.col(n_a) + F.col(n_b) - differ) * 5 >= 2 * FIFTHS * F.greatest(n_a, n_b)))
+    near = workspace.keep(near.select("a", "b").distinct(), "near")  # rows may be repeated
+
+    bag = _bags_of(comments, single, near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "bags")
     measured = near.join(bag.toDF("a", "body_a", "hunk_a"), "a").join(bag.toDF("b", "body_b", "hunk_b"), "b")
     alike = measured.where(_alike("body_a", "body_b") & _alike("hunk_a", "hunk_b"))
     return workspace.keep(alike.select(F.col("a").alias("rep_a"), F.col("b").alias("rep_b")), "pairs"), classes

@@ -97,3 +97,74 @@ def test_minmax_signatures_estimate_jaccard():
     rows = [neardup._minmax(neardup._mix(np.array(sorted(s), np.uint64), 3), np.array([len(s)]), permutations) for s in (a, b)]
     agree = np.mean([x == y for i in (0, 1) for x, y in zip(rows[0][i][0], rows[1][i][0], strict=True)])
     assert abs(agree - jaccard) < 0.06
+
+
+def hot_hunk(n, seed):
+    """Many bodies on one hunk, short ones too; a tenth repeat another body with an edit."""
+    rng = random.Random(seed)
+    vocab = [f"w{k}" for k in range(2000)] + ["the", "a", "is", "this"] * 200
+    bodies = []
+    for k in range(n):
+        if bodies and rng.random() < 0.1:
+            bodies.append(edited(rng, rng.choice(bodies), 1))
+        else:
+            bodies.append(" ".join(rng.choices(vocab, k=rng.choice([1, 2, 4, 6, 8, 15, 30]))))
+    hunk = " ".join(f"h{k}" for k in range(60))
+    return [(k, k, "2024-01-01T00:00:00Z", b or "w0", hunk if k % 3 else hunk + f" line{k % 5}", "", 0) for k, b in enumerate(bodies)]
+
+
+def test_hot_hunk_is_searched_by_prefixes_and_completely(spark, monkeypatch):
+    rows = hot_hunk(5000, 3)
+    taken = {}
+    searched, keep = {name: getattr(neardup, name) for name in ("prefix_pairs", "candidates_of")}, neardup.workspace.keep
+
+    def counted(name):
+        def run(given, *more):
+            out = keep(searched[name](given, *more), "counted")
+            taken[name] = given.count(), out.count()
+            return out
+
+        return run
+
+    for name in searched:
+        monkeypatch.setattr(neardup, name, counted(name))
+    pairs, classes = neardup.near_pairs(spark.createDataFrame(rows, SCHEMA))
+    assert taken["prefix_pairs"][0] > 300 and taken["candidates_of"][1] < 40 * taken["candidates_of"][0]  # of 12 million pairs
+    rep = {r.id: r.rep for r in classes.collect()}
+    got = {(r.rep_a, r.rep_b) for r in pairs.collect()}
+    # brute force by shared rare words: bodies of like length that share four fifths
+    bags, index, expected = {k: bag(b) for k, _, _, b, *_ in rows if rep[k] == k}, {}, set()
+    for k, b in bags.items():
+        for w in b:
+            index.setdefault(w, set()).add(k)
+    hunks = {k: bag(h) for k, _, _, _, h, *_ in rows}
+    for k, b in bags.items():
+        near = Counter(o for w in b if len(index[w]) < 600 for o in index[w] if o > k)
+        expected |= {(k, o) for o in near if 5 * sum((b & bags[o]).values()) >= 4 * max(sum(b.values()), sum(bags[o].values())) and alike_bags(hunks[k], hunks[o])}
+    assert got <= expected | got and len(expected - got) <= 0.01 * len(expected) and len(expected) > 200
+
+
+def alike_bags(a, b):
+    return 5 * sum((a & b).values()) >= 4 * max(sum(a.values()), sum(b.values()))
+
+
+def test_prefix_search_misses_nothing(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"v{k}" for k in range(12)], k=rng.randint(1, 9))) for _ in range(200)]
+    rows = [(k, k, None, t, "h1 h2 h3", "", 0) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    bags_ = df.select("id", "body", "diff_hunk").mapInArrow(neardup._bagged, "id bigint, body_bag array<bigint>, hunk_bag array<bigint>")
+    met = {(r.a, r.b) for r in neardup.prefix_pairs(bags_).collect()}
+    want = {(a, b) for a in range(200) for b in range(a + 1, 200) if alike_bags(bag(texts[a]), bag(texts[b]))}
+    assert want <= met and want
+
+
+def test_parity_bitmaps_bound_what_bags_share():
+    rng = np.random.default_rng(4)
+    for n, m, shared in ((3, 4, 3), (20, 25, 18), (200, 220, 170), (1500, 1500, 1200)):
+        pool = rng.integers(0, 2**63, n + m - shared, dtype=np.uint64)
+        a, b = pool[:n], pool[n - shared :]
+        for bits in neardup.BITMAPS:
+            words = [neardup._parity(x, np.array([len(x)]), bits) for x in (a, b)]
+            differ = sum(int(x[0] ^ y[0]).bit_count() for x, y in zip(*words, strict=True))
+            assert n + m - differ >= 2 * shared
