@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_found": leaks.p7_found,
         "p7_items": leaks.p7_items,
         "p7_clean": leaks.p7_clean,
+        "p7_verbatim": leaks.p7_verbatim,
         "p8_found": looks.p8_found,
         "p8_form": looks.p8_form,
         "p8_groups": looks.p8_groups,
@@ -30,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": splits.P1_SQL, "p2_found": caps.P2_SQL, "p4_found": neardup.P4_SQL} | looks.oracle_sql()
+    return {"p1_found": splits.P1_SQL, "p2_found": caps.P2_SQL, "p4_found": neardup.P4_SQL, "p7_verbatim": leaks.VERBATIM_SQL} | looks.oracle_sql()

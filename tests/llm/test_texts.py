@@ -141,9 +141,104 @@ def test_small_shards_and_blocks_change_nothing(spark, monkeypatch):
                 assert (k, i) in one
 
 
+def share_of_best_window(doc, item):
+    """By brute force: whether some passage of the item has four fifths of its aligned words found."""
+    need = min(20, len(item))
+    for first in range(len(item) - need + 1):
+        for start in range(len(doc)):
+            # rows: words of the item used; best of found - 4 x missed
+            row = {start: 0}
+            for used in range(1, min(len(item) - first, 40) + 1):
+                fresh = {}
+                for at, score in row.items():
+                    for skip in range(3):  # words added before this one
+                        k = at + skip
+                        if k < len(doc):
+                            gain = 1 if doc[k] == item[first + used - 1] else -4
+                            fresh[k + 1] = max(fresh.get(k + 1, -99), score - 4 * skip + gain)
+                    fresh[at] = max(fresh.get(at, -99), score - 4)
+                row = {k: v for k, v in fresh.items() if v > -12}
+                if not row:
+                    break
+                if used >= need and max(row.values()) >= 0:
+                    return True
+    return False
+
+
+def test_four_changed_words_of_twenty_wherever_they_are(spark):
+    s, rng = " ".join, random.Random(11)
+    part = ITEM[5:25]
+    texts, places = [], [(3, 7, 11, 15), (3, 8, 13, 18), (0, 5, 10, 15), (4, 8, 12, 16), (3, 7, 11, 19)] + [tuple(rng.sample(range(20), 4)) for _ in range(40)]
+    for where in places:
+        texts.append(s(NOISE[:9] + [f"other{k}" if k in where else w for k, w in enumerate(part)] + NOISE[9:]))
+    assert [d for d, _ in leak_rows(spark, texts)] == list(range(len(places)))
+    fewer = [s(NOISE[:9] + [f"other{k}" if k in where else w for k, w in enumerate(part)] + NOISE[9:]) for where in ((2, 6, 10, 14, 18), (0, 4, 9, 14, 19))]
+    assert leak_rows(spark, fewer) == []
+
+
+def test_edited_passages_against_brute_force():
+    rng = random.Random(2)
+    items = leaks.Items([(7, ITEM), (8, ITEM[:6] + ["tail"]), (9, "only four words here".split()), (10, ["lone", "pair"])])
+    sizes = {7: ITEM, 8: ITEM[:6] + ["tail"], 9: "only four words here".split(), 10: ["lone", "pair"]}
+    seen = [0, 0]
+    for _ in range(150):
+        own = rng.choice(list(sizes))
+        words = list(sizes[own])
+        if own == 7:
+            at = rng.randint(0, 12)
+            words = words[at : at + rng.randint(17, 26)]
+        for _ in range(rng.randint(0, 6 if own == 7 else 2)):
+            k = rng.randrange(len(words)) if words else 0
+            words[k : k + rng.randint(0, 1)] = rng.choice([[], [f"z{rng.randint(0, 99)}"]])
+        doc = NOISE[:7] + words + NOISE[7:]
+        got = {i for _, i, *_ in leaks._leaks([(1, doc)], items)}
+        expected = {i for i, item in sizes.items() if share_of_best_window(doc, item)}
+        seen[0] += bool(expected)
+        seen[1] += not expected
+        assert expected <= got and not (got - expected - {7}), (words, got, expected)  # chains may add quotes with insertions
+    assert min(seen) > 20
+
+
+def test_items_under_four_words_and_documents_without_identifier(spark):
+    texts = ["we met a lone pair here", "a lone old pair", "single", "", None, "nothing"]
+    assert leak_rows(spark, texts, [(1, "lone pair"), (2, "Single!"), (3, "...")]) == [(0, 1), (2, 2)]
+    docs = spark.createDataFrame([(None, "x lone pair", 1), (None, "clean text", 2), (3, "lone pair", 3), (4, None, 4), (None, None, 5)], "doc_id bigint, text string, nameless int")
+    items = spark.createDataFrame([(1, "lone pair")], "item_id bigint, item_text string")
+    assert sorted(r.nameless for r in leaks.without_leaks(docs, items).collect()) == [2, 4, 5]
+    assert [r.doc_id for r in leaks.find_leaks(docs, items).collect()] == [3]
+
+
+def test_common_words_are_worked_off_in_parts(monkeypatch):
+    items = leaks.Items([(1, ["the", "same"] * 30), (2, ITEM)])
+    docs = [((k, None), ["the", "same"] * 12 + NOISE + ITEM[: 10 + k]) for k in range(20)]
+    whole = sorted(leaks._leaks(docs, items))
+    monkeypatch.setattr(leaks, "HITS", 50)
+    assert sorted(leaks._leaks(docs, items)) == whole and len(whole) > 20
+
+
+def test_longest_matches():
+    rng = np.random.default_rng(1)
+    text = np.concatenate([rng.integers(0, 4, 400), np.zeros(leaks.SEED, int)]).astype(np.int32)
+    items = leaks.Items([(1, [f"w{x}" for x in rng.integers(0, 3, 60)])])
+    numbers = {w: n for w, n in items.numbers.items()}
+    array = leaks.suffix_array(text)
+    got = leaks.longest_matches(text, array, items)
+    item = items.text[items.suffixes]
+    assert len(numbers) == 3
+    for q, n in enumerate(got):
+        best = 0
+        for p in range(len(text)):
+            k = 0
+            while q + k < len(item) and p + k < len(text) and text[p + k] == item[q + k]:
+                k += 1
+            best = max(best, k)
+        assert n == best
+
+
 def test_suffix_array():
     rng = np.random.default_rng(0)
-    text = np.concatenate([rng.integers(0, 4, 300), np.zeros(leaks.DEPTH, int)]).astype(np.int32)
+    text = np.concatenate([rng.integers(0, 4, 300), np.tile([1, 2, 3, 3], 40), [0], np.tile([1, 2, 3, 3], 40), np.zeros(leaks.SEED, int)]).astype(np.int32)
     array = leaks.suffix_array(text)
-    keys = [tuple(text[p : p + leaks.DEPTH]) for p in array]
+    ends = {p: next(k for k in range(p, len(text)) if text[k] == 0) for p in array}
+    keys = [tuple(text[p : ends[p]]) for p in array]
     assert keys == sorted(keys) and sorted(array) == np.flatnonzero(text).tolist()
