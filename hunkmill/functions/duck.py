@@ -37,8 +37,8 @@ def hits(e: str, pattern: str) -> str:
     return f"len(regexp_extract_all({e}, {quoted(pattern)}))"
 
 
-def design_score(e: str, replies: str, lexicon: str = "reference") -> str:
-    design, nit = (f"{hits(e, p)}::float" for p in text.LEXICONS[lexicon])
+def design_score(e: str, replies: str) -> str:
+    design, nit = (f"{hits(e, p)}::float" for p in (text.DESIGN, text.NIT))
     return (
         f"greatest(least((least({design} * 0.25::float, 0.6::float) + least({replies}::float * 0.12::float, 0.36::float)"
         f" + least(strlen({e})::float / 600.0::float, 0.2::float)"
@@ -46,8 +46,8 @@ def design_score(e: str, replies: str, lexicon: str = "reference") -> str:
     )
 
 
-def category(e: str, replies: str, lexicon: str = "reference") -> str:
-    design, nit = (hits(e, p) for p in text.LEXICONS[lexicon])
+def category(e: str, replies: str) -> str:
+    design, nit = (hits(e, p) for p in (text.DESIGN, text.NIT))
     return (
         f"case when {nit} > {design} then 'nit' when {design} >= 1 or {replies} >= 2 then 'design'"
         rf" when regexp_matches({e}, '{text.QUESTION}') then 'question' else 'other' end"

@@ -38,7 +38,7 @@ def keep_first(rows: DataFrame, key: str, order: str) -> DataFrame:
     return mark_first(rows, key, order).where("is_first").drop("is_first")
 
 
-def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20, lexicon: str = "reference") -> DataFrame:
+def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20) -> DataFrame:
     """With body cleaned, ``replies``, ``score``, ``category`` and ``reason``; the first matching reason counts.
 
     The cases run in order of cost, so the patterns only see rows that nothing cheaper has dropped.
@@ -58,7 +58,7 @@ def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20,
     cleaned = marked.withColumn("reason", cheap).withColumn("replies", F.coalesce("replies", F.lit(0)))
     cleaned = cleaned.withColumn("body", F.when(F.col("reason").isNull(), text.clean_body(F.col("raw"))))
     # the patterns are the costly part, so their counts are columns of their own, made once
-    design, nit = (F.when(F.col("reason").isNull(), text.hits(body, p)) for p in text.LEXICONS[lexicon])
+    design, nit = (F.when(F.col("reason").isNull(), text.hits(body, p)) for p in (text.DESIGN, text.NIT))
     counted = cleaned.withColumn("design", design).withColumn("nit", nit)
     signals = (body, F.col("replies"), F.col("design"), F.col("nit"))
     scored = counted.withColumn("score", F.when(F.col("reason").isNull(), text.score_of(*signals)))
@@ -166,12 +166,12 @@ def trivial_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("delivery_id", text.is_trivial(text.clean_body(F.col("body"))).alias("trivial"))
 
 
-def _signals(lexicon: str) -> str:
-    design, nit = (duck.hits("body", p) for p in text.LEXICONS[lexicon])
+def _signals() -> str:
+    design, nit = (duck.hits("body", p) for p in (text.DESIGN, text.NIT))
     return f"select delivery_id, {design} as design, {nit} as nit, regexp_matches(body, '{text.QUESTION}') as question from review_comments"
 
 
-@query(_signals("reference"))
+@query(_signals())
 def lexicon_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.col("body")
     return load(spark, sf_dir, "review_comments").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -52,8 +54,14 @@ def pad_left(ids: Column, width: Column, pad: int = 0) -> Column:
 
 
 def positions_of(mask: Column) -> Column:
-    """Position of each token among the real ones: the running sum of the mask less one."""
-    return F.transform(mask, lambda _, i: F.aggregate(F.slice(mask, F.lit(1), i + 1), F.lit(0), lambda a, x: a + x) - 1)
+    """Position of each token among the real ones: the running sum of the mask less one.
+
+    A sum that runs along an array is linear only outside column expressions, so this is an Arrow batch function.
+    """
+    def places(masks: pd.Series) -> pd.Series:
+        return masks.map(lambda m: None if m is None else np.cumsum(np.asarray(m, np.int32), dtype=np.int32) - 1)
+
+    return F.pandas_udf(places, "array<int>")(mask)  # type: ignore[call-overload]
 
 
 #: Widths of time, in microseconds, by which an instant is narrowed down: day, hour, second, millisecond, itself.

@@ -7,7 +7,8 @@ error to four fifths; both are clamped.  The least time seen so far never forget
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,52 +17,77 @@ from hunkmill.registry import query
 from hunkmill.workspace import load
 
 SHRINK = 0.8
+FASTEST_EVER = 1e-6
 
 
-@dataclass
-class Limiter:
-    """The same rule for use inside a task that calls a model."""
+class Kind(NamedTuple):
+    """What the rule needs of numbers, or of columns."""
+
+    constant: Callable[[float], Any]
+    least: Callable[..., Any]
+    greatest: Callable[..., Any]
+    root: Callable[[Any], Any]
+    choose: Callable[[Any, Any, Any], Any]
+
+
+NUMBERS = Kind(float, min, max, math.sqrt, lambda condition, yes, no: yes if condition else no)
+COLUMNS = Kind(F.lit, F.least, F.greatest, F.sqrt, lambda condition, yes, no: F.when(condition, yes).otherwise(no))
+
 
-    least: int = 1
-    most: int = 32
-    start: int = 2
-    limit_: float = field(init=False)
-    fastest: float = field(default=math.inf, init=False)
+def moved(limit: Any, fastest: Any, seconds: Any, ok: Any, bounds: tuple[float, float], kind: Kind) -> tuple[Any, Any]:
+    """(limit, fastest) after one answer, whether these are numbers or columns."""
+    low, high = map(kind.constant, bounds)
+    took = kind.greatest(seconds, kind.constant(FASTEST_EVER))
+    fastest = kind.choose(ok, kind.least(fastest, took), fastest)
+    slower = kind.least(kind.greatest(fastest / took, kind.constant(0.5)), kind.constant(1.0))
+    raw = kind.choose(ok, limit * slower + kind.root(limit), limit * SHRINK)
+    return kind.least(kind.greatest(raw, low), high), fastest
 
-    def __post_init__(self) -> None:
-        self.least = max(self.least, 1)
-        self.most = max(self.most, self.least)
-        self.limit_ = self._clamped(float(self.start))
 
-    def _clamped(self, x: float) -> float:
-        return min(max(x, self.least), self.most)
+def bounds_of(least: int, most: int) -> tuple[float, float]:
+    low = float(max(least, 1))
+    return low, max(float(most), low)
+
+
+class Limiter:
+    """The rule for use inside a task that calls a model."""
+
+    def __init__(self, least: int = 1, most: int = 32, start: int = 2):
+        self.bounds = bounds_of(least, most)
+        self.limit_ = min(max(float(start), self.bounds[0]), self.bounds[1])
+        self.fastest = math.inf
+
+    @property
+    def most(self) -> int:
+        return int(self.bounds[1])
 
     @property
     def limit(self) -> int:
         return math.floor(self.limit_)
 
+    def _take(self, seconds: float, ok: bool) -> None:
+        self.limit_, self.fastest = moved(self.limit_, self.fastest, seconds, ok, self.bounds, NUMBERS)
+
     def success(self, seconds: float) -> None:
-        s = max(seconds, 1e-6)
-        self.fastest = min(self.fastest, s)
-        self.limit_ = self._clamped(self.limit_ * min(max(self.fastest / s, 0.5), 1.0) + math.sqrt(self.limit_))
+        self._take(seconds, True)
 
     def error(self) -> None:
-        self.limit_ = self._clamped(self.limit_ * SHRINK)
+        self._take(FASTEST_EVER, False)
+
+
+def started(bounds: tuple[float, float], start: int) -> Column:
+    return F.struct(F.lit(min(max(float(start), bounds[0]), bounds[1])).alias("limit"), F.lit(math.inf).alias("fastest"))
 
 
 def fold(answers: Column, least: int = 1, most: int = 32, start: int = 2) -> Column:
     """struct(limit, fastest) after an ordered array of struct(rtt double, ok boolean)."""
-    low, high = float(max(least, 1)), float(max(most, least, 1))
-    zero = F.struct(F.lit(min(max(float(start), low), high)).alias("limit"), F.lit(float("inf")).alias("fastest"))
+    bounds = bounds_of(least, most)
 
     def step(s: Column, a: Column) -> Column:
-        rtt = F.greatest(a["rtt"], F.lit(1e-6))
-        fastest = F.when(a["ok"], F.least(s["fastest"], rtt)).otherwise(s["fastest"])
-        up = s["limit"] * F.least(F.greatest(fastest / rtt, F.lit(0.5)), F.lit(1.0)) + F.sqrt(s["limit"])
-        moved = F.when(a["ok"], up).otherwise(s["limit"] * SHRINK)
-        return F.struct(F.least(F.greatest(moved, F.lit(low)), F.lit(high)).alias("limit"), fastest.alias("fastest"))
+        limit, fastest = moved(s["limit"], s["fastest"], a["rtt"], a["ok"], bounds, COLUMNS)
+        return F.struct(limit.alias("limit"), fastest.alias("fastest"))
 
-    return F.aggregate(answers, zero, step)
+    return F.aggregate(answers, started(bounds, start), step)
 
 
 def settled_limits(rows: DataFrame, by: str, order: list[str], rtt: Column, ok: Column) -> DataFrame:
@@ -88,16 +114,18 @@ def limiter_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled_limits(rows, "user_id", ["ts", "event_id"], F.abs("value") / 1000, F.col("event_type") != "error")
 
 
-@query()
+@query(
+    """with recursive f as (select 0 as k, 2::double as lim, 'infinity'::double as fastest union all
+      select k + 1, least(greatest(lim * least(greatest(least(fastest, rtt) / rtt, 0.5), 1) + sqrt(lim), 1), 32), least(fastest, rtt)
+      from (select *, 0.05::double * greatest(floor(lim) / 8.0::double, 1) as rtt from f) where k < 800)
+    select floor(lim)::bigint as limit from f where k = 800"""
+)
 def limiter_simulation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The controller against a model server whose times grow beyond eight requests in flight."""
-    start = F.struct(F.lit(2.0).alias("limit"), F.lit(float("inf")).alias("fastest"))
-
     def step(s: Column, _: Column) -> Column:
         rtt = F.lit(0.05) * F.greatest(F.floor(s["limit"]) / 8.0, F.lit(1.0))
-        fastest = F.least(s["fastest"], rtt)
-        up = s["limit"] * F.least(F.greatest(fastest / rtt, F.lit(0.5)), F.lit(1.0)) + F.sqrt(s["limit"])
-        return F.struct(F.least(F.greatest(up, F.lit(1.0)), F.lit(32.0)).alias("limit"), fastest.alias("fastest"))
+        limit, fastest = moved(s["limit"], s["fastest"], rtt, F.lit(True), bounds_of(1, 32), COLUMNS)
+        return F.struct(limit.alias("limit"), fastest.alias("fastest"))
 
     rounds = spark.range(1).select(F.sequence(F.lit(1), F.lit(800)).alias("rounds"))
-    return rounds.select(F.floor(F.aggregate("rounds", start, step)["limit"]).alias("limit"))
+    return rounds.select(F.floor(F.aggregate("rounds", started(bounds_of(1, 32), 2), step)["limit"]).alias("limit"))

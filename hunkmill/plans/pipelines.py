@@ -21,9 +21,9 @@ class Curated:
     counts: Observation
 
 
-def curate(comments: DataFrame, min_score: float = 0.0, min_len: int = 20, lexicon: str = "reference") -> Curated:
+def curate(comments: DataFrame, min_score: float = 0.0, min_len: int = 20) -> Curated:
     """Chat records, and the funnel's counters observed while the records are written."""
-    rows = curation.funnel(comments, min_score, min_len, lexicon)
+    rows = curation.funnel(comments, min_score, min_len)
     counts = Observation("funnel")
     seen = rows.observe(counts, F.count("*").alias("seen"), *[F.count_if(F.col("reason") == r).alias(r) for r in curation.REASONS])
     return Curated(curation.chat_records(seen), counts)

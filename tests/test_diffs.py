@@ -5,62 +5,6 @@ import pytest
 from hunkmill.operators import diffs
 
 
-def model(diff):
-    """A plain line loop: (files, hunks, lines)."""
-    files, cur, old, new, open_, o, n = [], None, None, None, None, 0, 0
-
-    def path(p):
-        p = p.split("\t")[0].strip()
-        return p if p == "/dev/null" else p[2:] if p[:2] in ("a/", "b/") else p
-
-    def start(h, sign):
-        inner = h.lstrip("@").split("@@")[0].split()
-        got = [t[1:].split(",")[0] for t in inner if t[0] == sign]
-        return int(got[-1]) if got and got[-1].isdigit() else 0
-
-    body = diff[:-1] if diff.endswith("\n") else diff
-    for line in body.split("\n") if diff else []:
-        line = line.removesuffix("\r")
-        if line.startswith("diff --git "):
-            rest = line[11:]
-            parts = rest.split(" b/")
-            name = parts[1] if len(parts) > 1 else rest
-            while len(parts) == 1 and name.startswith("a/"):
-                name = name[2:]
-            cur = {"path": name, "old": None, "status": "modified", "binary": False, "hunks": []}
-            files.append(cur)
-            old = new = open_ = None
-        elif cur is None:
-            continue
-        elif line.startswith("Binary files "):
-            cur["binary"] = True
-        elif line.startswith("--- "):
-            old = path(line[4:])
-        elif line.startswith("+++ "):
-            new = path(line[4:])
-            if old is not None:
-                if old == "/dev/null":
-                    cur.update(status="added", path=new)
-                elif new == "/dev/null":
-                    cur.update(status="deleted", path=old, old=old)
-                else:
-                    cur["path"] = new
-                    if old != new:
-                        cur.update(status="renamed", old=old)
-            old = None
-        elif line.startswith("@@"):
-            o, n = start(line, "-"), start(line, "+")
-            open_ = {"header": line, "raw": [line], "lines": []}
-            cur["hunks"].append(open_)
-        elif open_ is not None:
-            open_["raw"].append(line)
-            kind = {"+": "add", "-": "del", "\\": None}.get(line[:1], "ctx")
-            if kind:
-                open_["lines"].append((kind, o if kind != "add" else None, n if kind != "del" else None, line[1:] if line[:1] in "+- " and line else line))
-                o, n = o + (kind != "add"), n + (kind != "del")
-    return files
-
-
 SAMPLE = """diff --git a/src/lib.rs b/src/lib.rs
 index 1..2 100644
 --- a/src/lib.rs
@@ -80,16 +24,38 @@ new file mode 100644
 +there
 \\ No newline at end of file
 """
+# by hand: a diff, its files (path, old path, status, binary, hunks), its numbered lines (file, hunk, kind, old, new, text)
 HAND = [
-    SAMPLE,
-    "diff --git a/x b/y\n--- a/x\n+++ b/y\n@@ -1 +1 @@\n-- deleted comment\n--- gone\n+++ came\n x\n",
-    "@@ -1,2 +1,2 @@\n x\n",
-    "diff --git a/x b/x\r\n--- a/x\r\n+++ b/x\r\n@@@ -1,2 -1 +3,4 @@@ z\r\n a\r\n\r\n+b\r\n",
-    "diff --git a/x.png b/x.png\nBinary files a/x.png and b/x.png differ\n",
-    "diff --git a/x b/x\n--- a/x\n+++ /dev/null\n@@ -1,2 +0,0 @@\n-a\n-b\n",
-    "diff --git a/a/x\n@@ q @@\n+1\n",
-    "", None,
-]
+    (
+        SAMPLE,
+        [("src/lib.rs", None, "modified", False, 1), ("README.md", None, "added", False, 1)],
+        [
+            (1, 1, "ctx", 10, 10, "fn a() {"), (1, 1, "del", 11, None, "    old();"), (1, 1, "add", None, 11, "    new();"), (1, 1, "add", None, 12, "    more();"),
+            (1, 1, "ctx", 12, 13, "}"), (2, 1, "add", None, 1, "# Hi"), (2, 1, "add", None, 2, "there"),
+        ],
+    ),
+    # inside a hunk, lines that look like path headers are read as path headers
+    (
+        "diff --git a/x b/y\n--- a/x\n+++ b/y\n@@ -1 +1 @@\n-- deleted comment\n--- gone\n+++ came\n x\n",
+        [("came", "gone", "renamed", False, 1)],
+        [(1, 1, "del", 1, None, "- deleted comment"), (1, 1, "ctx", 2, 1, "x")],
+    ),
+    ("@@ -1,2 +1,2 @@\n x\n", [], []),  # no file
+    (
+        "diff --git a/x b/x\r\n--- a/x\r\n+++ b/x\r\n@@@ -1,2 -1 +3,4 @@@ z\r\n a\r\n\r\n+b\r\n",
+        [("x", None, "modified", False, 1)],
+        [(1, 1, "ctx", 1, 3, "a"), (1, 1, "ctx", 2, 4, ""), (1, 1, "add", None, 5, "b")],
+    ),
+    ("diff --git a/x.png b/x.png\nBinary files a/x.png and b/x.png differ\n", [("x.png", None, "modified", True, 0)], []),
+    (
+        "diff --git a/x b/x\n--- a/x\n+++ /dev/null\n@@ -1,2 +0,0 @@\n-a\n-b\n",
+        [("x", "x", "deleted", False, 1)],
+        [(1, 1, "del", 1, None, "a"), (1, 1, "del", 2, None, "b")],
+    ),
+    ("diff --git a/a/x\n@@ q @@\n+1\n", [("x", None, "modified", False, 1)], [(1, 1, "add", None, 0, "1")]),
+    ("", [], []),
+    (None, [], []),
+]
 
 
 def soup(rng):
@@ -97,26 +63,38 @@ def soup(rng):
     return "diff --git a/0 b/0\n" + "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 25)))
 
 
-def test_against_the_line_loop(spark):
+def test_by_hand(spark):
+    df = spark.createDataFrame([(k, case[0]) for k, case in enumerate(HAND)], "doc bigint, diff string")
+    lines = diffs.lines_of(df, "doc", "diff").cache()
+    files = diffs.files(lines).orderBy("doc", "f").collect()
+    numbered = diffs.numbered(lines).orderBy("doc", "f", "h", "pos").collect()
+    for doc, (_, in_files, in_lines) in enumerate(HAND):
+        assert [(r.path, r.old_path, r.status, r.binary, r.hunks) for r in files if r.doc == doc] == in_files
+        assert [(r.f, r.h, r.kind, r.old_no, r.new_no, r.text) for r in numbered if r.doc == doc] == in_lines
+
+
+def test_what_holds_for_every_diff(spark):
+    """Hunks open with their header and hold their lines verbatim and in order; both sides are counted without a gap."""
     rng = random.Random(5)
-    cases = HAND + [soup(rng) for _ in range(250)]
+    cases = [soup(rng) for _ in range(250)]
     df = spark.createDataFrame(list(enumerate(cases)), "doc bigint, diff string")
     lines = diffs.lines_of(df, "doc", "diff").cache()
-    files, hunks, numbered = {}, {}, {}
-    for r in diffs.files(lines).collect():
-        files[r.doc, r.f] = (r.path, r.old_path, r.status, r.binary, r.hunks)
-    for r in diffs.hunks(lines).collect():
-        hunks[r.doc, r.f, r.h] = (r.header, r.raw, r.last_new)
+    hunks = diffs.hunks(lines).orderBy("doc", "f", "h").collect()
+    numbered: dict = {}
     for r in diffs.numbered(lines).orderBy("doc", "f", "h", "pos").collect():
-        numbered.setdefault((r.doc, r.f, r.h), []).append((r.kind, r.old_no, r.new_no, r.text))
-    for doc, diff in enumerate(cases):
-        expected = model(diff or "")
-        assert len([k for k in files if k[0] == doc]) == len(expected)
-        for f, e in enumerate(expected, 1):
-            assert files[doc, f] == (e["path"], e["old"], e["status"], e["binary"], len(e["hunks"])), diff
-            for h, x in enumerate(e["hunks"], 1):
-                assert hunks[doc, f, h][:2] == (x["header"], "\n".join(x["raw"]))
-                assert numbered.get((doc, f, h), []) == x["lines"], diff
+        numbered.setdefault((r.doc, r.f, r.h), []).append(r)
+    opened = [sum(line.startswith("@@") for line in case.split("\n")) for case in cases]
+    assert [sum(x.doc == d for x in hunks) for d in range(len(cases))] == opened
+    for x in hunks:
+        given, own = iter(cases[x.doc].split("\n")), x.raw.split("\n")
+        assert all(line in given for line in own) and own[0] == x.header and x.header.startswith("@@")
+        body, rows = [line for line in own[1:] if line[:1] != "\\"], numbered.get((x.doc, x.f, x.h), [])
+        assert [r.text for r in rows] == [line[1:] if line[:1] in "+- " else line for line in body]
+        assert [r.kind for r in rows] == [{"+": "add", "-": "del"}.get(line[:1], "ctx") for line in body]
+        old, new = [r.old_no for r in rows if r.kind != "add"], [r.new_no for r in rows if r.kind != "del"]
+        assert old == list(range(x.old_start, x.old_start + len(old))) and new == list(range(x.new_start, x.new_start + len(new)))
+        assert all((r.old_no is None) == (r.kind == "add") and (r.new_no is None) == (r.kind == "del") for r in rows)
+        assert x.last_new == max([x.new_start, *new])
 
 
 def test_sample(spark):

@@ -1,6 +1,7 @@
 import json
 import math
 import threading
+import time
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from hunkmill.functions import vectors as V
 from hunkmill.operators import critics, evaluation, hybrid
 from hunkmill.operators.limiter import Limiter, fold
+from hunkmill.plans import pipelines
 from hunkmill.sources import models
 
 
@@ -56,6 +58,46 @@ def test_calls_keep_order_retry_and_survive():
     assert critics.run_calls([], call, Limiter()) == []
 
 
+def test_a_server_gets_no_more_calls_than_its_limit():
+    now, most, lock = [0], [0], threading.Lock()
+
+    def call(p):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.002)
+        with lock:
+            now[0] -= 1
+        return p
+
+    assert [r for _, r in critics.run_calls(list(map(str, range(60))), call, Limiter(1, 3, 1))] == list(map(str, range(60)))
+    assert most[0] <= 3
+    for total in range(1, 12):
+        for tasks in range(1, total + 1):
+            parts = [critics.share_of(total, tasks, k) for k in range(tasks)]
+            assert sum(parts) == total and min(parts) >= 1
+
+
+def test_each_hunk_is_sent_once(spark, tmp_path):
+    """However many actions read findings and statuses."""
+    log = str(tmp_path / "calls")
+
+    class Counting:
+        model_version = "m"
+
+        def review(self, prompt):
+            with open(log, "a") as f:
+                f.write("call\n")
+            return ["a remark", "another"]
+
+    diff = spark.createDataFrame([("d", "diff --git a/x b/x\n--- a/x\n+++ b/x\n@@ -1 +1,2 @@\n a\n+b\n@@ -9 +10,2 @@\n c\n+d\n")], "doc string, diff string")
+    found, calls = pipelines.review(diff, "o/n", 1, "s", "t", Counting)
+    assert found.count() == 4 and calls.count() == 2 and found.count() == 4
+    assert {r.status for r in calls.collect()} == {"ok"}
+    with open(log) as f:
+        assert len(f.readlines()) == 2
+
+
 def test_http_critic():
     seen = []
 
