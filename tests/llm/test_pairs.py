@@ -15,7 +15,7 @@ def test_empty(answer):
 
 @pytest.mark.parametrize("answer", ["OK", "👍", "+1", "lgtm!", "Yep", "ditto", "> let old = shard.read();\n\nWhy drop it?", "Makes sense to me", "?"[:0] + "Nit: typo in `x`"])
 def test_replies_are_answers(answer):
-    assert pairs.judge(PROMPT, answer, None) == ([], None, None)
+    assert pairs.judge(PROMPT, answer, None)[0] == []
 
 
 @pytest.mark.parametrize(
@@ -30,6 +30,10 @@ def test_copied(answer):
     [
         "I'm sorry, but I can’t help with reviewing this code.", "As an AI language model, I am not permitted to discuss this file.", "I must decline to answer this. My policies do not allow it.",
         "Reviewing this patch is beyond my capabilities.", "It is not possible for me to review diffs.", "Es tut mir leid, aber ich kann diesen Code nicht bewerten.", "Lo siento, pero no puedo ayudar con esta revisión.",
+        "I am unable to do a review at this time.", "Leider kann ich dabei nicht behilflich sein", "Beklager, men jeg kan ikke hjelpe med denne koden.",
+        "Üzgünüm, bu kodu inceleyemem.", "Tyvärr kan jag inte granska den här koden.", "Je dois refuser cette demande.", "Не можу допомогти з цим кодом.", "آسف، لا أستطيع مساعدتك.",
+        "Thank you for sharing this change. I cannot review it. " + "A review asks for the judgment of people who know the project, so please ask a maintainer of it. " * 8,
+        "I can't help with reviewing this code:\n\n> let old = shard.read();\n> let fresh = shard.write()?;\n\nPlease ask one of the maintainers.",
         "Desculpe, não posso comentar este código.", "Je suis désolé, je ne peux pas commenter ce code.", "К сожалению, я не могу помочь с этим кодом.", "抱歉，我无法评论这段代码。", "申し訳ありませんが、このコードをレビューできません。",
     ],
 )
@@ -41,6 +45,8 @@ def test_refusals(answer):
     "answer",
     [
         "We cannot accept each hunk here, `x` has to reject it.", "I can't help but notice that `a` and `b` share a lock.", "I'm unable to reproduce the old page with `x` on 22 rows, which seed did you use?",
+        "I can't comment on the naming but the lock is wrong.", "I would rather not review this style; drop it.",
+        "I'm not able to complete the build with this change; it fails on Windows.", "The guard is held too long. I can't review the rest today.",
         "Sorry, I can't see why `X` needs to be public, could it stay in `y`?", "It is against the policy of `x` to let `y` return it.", "I won't block on this, but the name still surprises callers of `x`.",
     ],
 )
@@ -64,6 +70,36 @@ def test_language(answer, bad):
     assert ("language" in pairs.judge(PROMPT, answer, None)[0]) == bad
 
 
+def test_short_diffs_and_short_answers():
+    prompt = "File: a\n\n```diff\n+x y\n```"
+    assert pairs.judge(prompt, "+x y", None)[0] == ["copied"] and pairs.judge(prompt, "x y", None)[0] == ["copied"]
+    assert pairs.judge(prompt, "Use x here", None)[0] == pairs.judge(prompt, "lgtm", None)[0] == []
+    assert pairs.judge("File: a\n\n```diff\n```", "Fine.", None)[0] == []
+
+
+def test_every_turn_is_judged(spark):
+    good = "The outer guard keeps the fragile buffer while the caller reads the index."
+    say = [("system", "s"), ("user", PROMPT), ("assistant", good), ("user", "And the other file?"), ("assistant", "I must decline to answer this."), ("assistant", " "), ("assistant", None)]
+    two = [("user", "x"), ("assistant", good), ("user", PROMPT), ("assistant", DIFF), None, ("tool", "y")]
+    before = [("assistant", DIFF), ("user", PROMPT)]
+    df = spark.createDataFrame([(1, say), (2, two), (3, before), (None, before), (4, []), (5, [("user", "x"), ("assistant", good)])], f"record_id bigint, messages {M}")
+    got = {r.record_id: r.defects for r in pairs.flag_pairs(df).collect()}
+    assert got == {1: ["empty", "refusal"], 2: ["copied"], 3: ["copied"], None: ["copied"], 4: ["empty"]}
+
+
+def test_types_of_the_smaller_table(spark):
+    """By hand: what the answers of the table of scale 0.01 are that differ from the comment they were built from."""
+    expected = {
+        "empty": [73, 121, 190, 254, 381, 442, 469, 481],
+        "copied": [224, 337, 339, 356, 448, 475],
+        "refusal": [129, 146, 173, 186, 328, 336],
+        "language": [85, 161, 215, 268, 296, 343],
+        "truncated": [3, 33, 81, 228, 266, 281, 363, 399, 401, 493],
+    }
+    got = pairs.p3_found(spark, "/root/testdata/sf0.01").collect()
+    assert sorted((r.record_id, r.defect) for r in got) == sorted((k, d) for d, ids in expected.items() for k in ids)
+
+
 def test_prompt_language_is_taken_from_the_prompt():
     said = "Die Funktion `x` hält die Sperre länger als nötig, und dafür fehlt noch ein Test."
     assert "language" not in pairs.judge("Bitte lies die Änderung und sag, was nicht gut ist. Das ist die Datei, die wir prüfen.", said, None)[0]
