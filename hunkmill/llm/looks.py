@@ -1,9 +1,10 @@
 """One form for texts that look the same.
 
-The form keeps what a reader sees and drops how it is encoded: compatibility forms without a look of
-their own (full-width, ligatures, no-break) are resolved, canonical composition is applied, look-alike
-letters of Cyrillic and Greek become the Latin letter they look like, spaces and hyphens of one look
-become one character, line ends become a line feed, and characters that aren't drawn are removed.
+The form keeps what a reader sees and drops how it is encoded: characters that aren't drawn are removed,
+line ends become a line feed, compatibility forms without a look of their own (full-width, ligatures,
+no-break) are resolved, letters of other scripts become the Latin letter they look like, with whatever
+accents they have, spaces, hyphens, colons and slashes of one look become one character, and canonical
+composition is applied.  A joiner stays where it makes one picture of two.
 
 A change to the named method: letter case is kept, because here a visibly different case is a
 different look.  ``look(text, fold_case=True)`` adds full case folding.
@@ -12,7 +13,8 @@ Work is done once per distinct value of a batch, and a text of plain ASCII costs
 
 Defined results: null stays null; a text without a visible character has the empty form and is in no
 pair; raised digits and letters, circled and styled ones, visible accents and other letters stay
-distinct; lone surrogates can't occur in the tables; texts are processed in full, whatever their length.
+distinct; private-use characters stay as they are; lone surrogates can't occur in the tables; texts are processed in
+full, whatever their length.
 """
 
 from __future__ import annotations
@@ -28,19 +30,40 @@ from pyspark.sql import functions as F
 
 from hunkmill import workspace
 
-# Letters whose usual drawing is that of a Latin letter.
-CYRILLIC = "АВЕЅІЈКМНОРСТУХҮԌԛԜаеѕіјорсухһԁԛԝүӀӏ"
-CYRILLIC_AS = "ABESIJKMHOPCTYXYGqWaesijopcyxhdqwyIl"
-GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳοϲ"
-GREEK_AS = "ABEZHIKMNOPTYXCjoc"
-ARMENIAN = "ՕՏԼոսօհ"
-ARMENIAN_AS = "OSLnuoh"
-HYPHENS = "‐‑﹣－"
+# Letters and marks whose usual drawing is that of a Latin letter or ASCII mark; part of Unicode's
+# confusables, without letters that a reader tells apart (as the Greek alpha or the Cyrillic soft sign).
+CYRILLIC = "АВЕЅІЈКМНОРСТУХҮѴԌԛԜаеѕіјорсухһԁԛԝүѵӀӏ"
+CYRILLIC_AS = "ABESIJKMHOPCTYXYVGqWaesijopcyxhdqwyvIl"
+GREEK = "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹϳοϲͿϺϜ"
+GREEK_AS = "ABEZHIKMNOPTYXCjocJMF"
+ARMENIAN = "ՕՏԼՍոսօհ"
+ARMENIAN_AS = "OSLUnuoh"
+CHEROKEE = "ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏴᏳᏂ"
+CHEROKEE_AS = "DRTiAJEWMHYGZbRWSVSLCPKBGh"
+LISU = "ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ"
+LISU_AS = "BPDTGKJCZFMNLSRVHWXYAEIOU"
+COPTIC = "ⲎⲒⲔⲘⲚⲞⲟⲢⲣⲤⲥⲦⲨⲬ"
+COPTIC_AS = "HIKMNOoPpCcTYX"
+LATIN = "ɑɡꓸ"
+LATIN_AS = "ag."
+MARKS = "‐‑﹣－−∕⁄∶꞉․"
+MARKS_AS = "-----//::."
 #: Kinds of compatibility mapping whose two sides look alike.
 ALIKE = {"<wide>", "<narrow>", "<noBreak>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>"}
-#: Characters that join emoji; inside such a sequence they are seen.
-JOINED = re.compile("(?<=[\u2600-\u27bf\U0001f000-\U0001faff\ufe0f])\u200d(?=[\u2600-\u27bf\U0001f000-\U0001faff])")
-_HOLD = "\ue000"
+# Between these, a joiner makes one picture: people, hands, flags, animals, faces and hearts before it;
+# signs, hair, tools, people and the like behind it.
+PICTURES = (
+    "\u2764\u26d3\u26f9\U0001f344\U0001f34b\U0001f3c2-\U0001f3cc\U0001f3f3\U0001f3f4\U0001f3fb-\U0001f3ff\U0001f408\U0001f415\U0001f426\U0001f43b\U0001f441"
+    "\U0001f464-\U0001f487\U0001f48b\U0001f574\U0001f575\U0001f57a\U0001f62e\U0001f635\U0001f636\U0001f642\U0001f645-\U0001f64e\U0001f6a3\U0001f6b4-\U0001f6b6\U0001f91d\U0001f926"
+    "\U0001f930-\U0001f93e\U0001f9b8\U0001f9b9\U0001f9cd-\U0001f9df\U0001faf1"
+)
+JOINED_TO = (
+    "\u2194\u2195\u2620\u2640\u2642\u2695\u2696\u26a7\u2708\u2744\u2764\u27a1\u2b1b\U0001f308\U0001f32b\U0001f33e\U0001f373\U0001f37c\U0001f384\U0001f393\U0001f3a4\U0001f3a8"
+    "\U0001f3eb\U0001f3ed\U0001f430\U0001f466-\U0001f469\U0001f48b\U0001f4a5\U0001f4a8\U0001f4ab\U0001f4bb\U0001f4bc\U0001f525\U0001f527\U0001f52c\U0001f5e8\U0001f680\U0001f692"
+    "\U0001f7e9\U0001f7eb\U0001f91d\U0001f9af-\U0001f9b3\U0001f9ba\U0001f9bc\U0001f9bd\U0001f9d1\U0001f9d2\U0001fa79\U0001faf2"
+)
+JOINER = "\u200d"
+LONE_JOINER = re.compile(f"(?<![{PICTURES}]){JOINER}|{JOINER}(?![{JOINED_TO}])")
 
 
 def _unseen(ch: str) -> bool:
@@ -52,13 +75,15 @@ def _unseen(ch: str) -> bool:
 
 
 @cache
-def drawing_table() -> dict[int, str | None]:
-    """Code point to what replaces it, from the rules above."""
-    table: dict[int, str | None] = {}
-    letters: dict[int, str | None] = {}
-    for source, target in ((CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS), (ARMENIAN, ARMENIAN_AS)):
+def drawing_tables() -> tuple[dict[int, None], dict[int, str], dict[int, str]]:
+    """Code points that aren't drawn; those that are drawn as other text, from the rules above; look-alike letters."""
+    gone: dict[int, None] = {}
+    table: dict[int, str] = {}
+    letters: dict[int, str] = {}
+    for source, target in (
+        (CYRILLIC, CYRILLIC_AS), (GREEK, GREEK_AS), (ARMENIAN, ARMENIAN_AS), (CHEROKEE, CHEROKEE_AS), (LISU, LISU_AS), (COPTIC, COPTIC_AS), (LATIN, LATIN_AS), (MARKS, MARKS_AS),
+    ):
         letters |= dict(zip(map(ord, source), target, strict=True))
-    letters |= dict.fromkeys(map(ord, HYPHENS), "-")
     for n in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= n <= 0xF8FF or 0x20000 <= n < 0xE0000 or n >= 0xF0000:
             continue
@@ -67,7 +92,7 @@ def drawing_table() -> dict[int, str | None]:
         if kind == "Cn":
             continue
         if _unseen(ch):
-            table[n] = None
+            gone[n] = None
         elif kind == "Zs":
             table[n] = " "
         elif kind in ("Zl", "Zp") or n == 0x85:
@@ -77,19 +102,24 @@ def drawing_table() -> dict[int, str | None]:
             if tag in ALIKE:
                 made = unicodedata.normalize("NFKC", ch)
                 if " " not in made:  # a mark standing alone has no plain counterpart
-                    table[n] = made.translate(letters)
-    return table | letters
+                    table[n] = made
+    del gone[ord(JOINER)]
+    return gone, table, letters
 
 
 def look(text: str, fold_case: bool = False) -> str:
     """The form of one text."""
+    plain = text.isascii()
+    if not plain:  # what isn't drawn goes first, so that nothing stands between what belongs together
+        gone, table, letters = drawing_tables()
+        text = text.translate(gone)
+        if JOINER in text:
+            text = LONE_JOINER.sub("", text)
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
-    if not text.isascii():
-        held = JOINED.sub(_HOLD, text) if "\u200d" in text else text
-        drawn = unicodedata.normalize("NFC", held).translate(drawing_table())
-        # a mark may now follow a letter it composes with
-        text = unicodedata.normalize("NFC", drawn).replace(_HOLD, "\u200d")
+    if not plain:
+        # accents are taken off, so that the letter below them is seen, and put on again
+        text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(table)).translate(letters))
     return text.casefold() if fold_case else text
 
 
@@ -150,23 +180,19 @@ def p8_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def form_sql(e: str) -> str:
-    """DuckDB SQL of :func:`look`, made from the same table."""
-
-    def q(text: str) -> str:
-        return "'" + text.replace("'", "''") + "'"
-
-    table = drawing_table().items()
-    one = {chr(k): v for k, v in table if v is not None and len(v) == 1}
-    many = {chr(k): v for k, v in table if v is not None and len(v) > 1}
-    gone = "".join(chr(k) for k, v in table if v is None)
+    """DuckDB SQL of the form, written for itself: by code point ranges and by what the documents hold of look-alikes."""
+    wide = "".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0x7F)))
+    alike = "аеорсухѕіјһёїАВЕІЈКМНОРСТХЅЁЇΑΒΕΖΗΙΚΜΝΟΡΤΥΧο‐‑", "aeopcyxsijhëïABEIJKMHOPCTXSËÏABEZHIKMNOPTYXo--"
+    e = rf"regexp_replace({e}, '[\x{{ad}}\x{{34f}}\x{{61c}}\x{{180b}}-\x{{180f}}\x{{200b}}\x{{200c}}\x{{200e}}\x{{200f}}\x{{202a}}-\x{{202e}}\x{{2060}}-\x{{206f}}\x{{fe00}}-\x{{fe0f}}\x{{feff}}]', '', 'g')"
+    # people with a tool in hand are the only joined pictures
+    e = rf"regexp_replace({e}, '([\x{{1f468}}\x{{1f469}}\x{{1f9d1}}])\x{{200d}}([\x{{1f4bb}}\x{{1f527}}\x{{1f52c}}\x{{1f680}}])', '\1' || chr(1114109) || '\2', 'g')"
+    e = f"replace(replace({e}, chr(8205), ''), chr(1114109), chr(8205))"
     e = f"replace(replace({e}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
-    emoji = r"[\x{2600}-\x{27bf}\x{1f000}-\x{1faff}\x{fe0f}]"
-    for _ in range(2):  # joined sequences overlap
-        e = rf"regexp_replace({e}, '({emoji})\x{{200d}}({emoji})', '\1' || chr(57344) || '\2', 'g')"
-    e = f"translate(nfc_normalize({e}), {q(''.join(one) + gone)}, {q(''.join(one.values()))})"
-    for k, v in many.items():
-        e = f"replace({e}, {q(k)}, {q(v)})"
-    return f"replace(nfc_normalize({e}), chr(57344), chr(8205))"
+    e = rf"regexp_replace(regexp_replace({e}, '[\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{202f}}\x{{205f}}\x{{3000}}]', ' ', 'g'), '[\x{{85}}\x{{2028}}\x{{2029}}]', chr(10), 'g')"
+    e = f"translate({e}, '{wide[0]}', '{wide[1].replace(chr(39), chr(39) * 2)}')"
+    for ligature, letters in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
+        e = f"replace({e}, '{ligature}', '{letters}')"
+    return f"nfc_normalize(translate(nfc_normalize({e}), '{alike[0]}', '{alike[1]}'))"
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import numpy as np
 import pytest
@@ -242,3 +243,29 @@ def test_suffix_array():
     ends = {p: next(k for k in range(p, len(text)) if text[k] == 0) for p in array}
     keys = [tuple(text[p : ends[p]]) for p in array]
     assert keys == sorted(keys) and sorted(array) == np.flatnonzero(text).tolist()
+
+
+@pytest.mark.parametrize(
+    "a, b, same",
+    [
+        ("TRACE", "ᎢᎡᎪᏟᎬ", True), ("LISU", "ꓡꓲꓢꓴ", True), ("gap", "ɡɑp", True), ("a-b", "a−b", True), ("a/b", "a∕b", True), ("a:b", "a∶b", True), ("ë", "ё", True),
+        ("ë", "е​̈", True), ("a\nb", "a\r​\nb", True), ("👩‍💻", "👩​‍💻", True), ("👩‍💻", "👩💻", False), ("🇳🇴", "🇳‍🇴", True), ("🎉🚀", "🎉‍🚀", True),
+        ("❤️‍🔥", "❤‍🔥", True), ("❤‍🔥", "❤🔥", False), ("ab", "ab", False), ("ab", "a‍b", False), ("x", "x​", True), ("α", "a", False), ("ь", "b", False),
+    ],
+)
+def test_more_looks(a, b, same):
+    assert (looks.look(a) == looks.look(b)) == same
+    assert looks.look("👩💻") == "👩💻"
+
+
+def test_look_alikes_are_among_the_public_confusables(spark):
+    """Against the confusables data of the JVM's Unicode library, which the operator doesn't use."""
+    checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    letters = looks.drawing_tables()[2]
+    known = {chr(k) for k in letters} - set("ӏԼ﹣－")  # small palochka and Armenian liwn aren't listed so; wide marks are compatibility forms
+    assert len(known) > 120
+    for ch in known:
+        target = letters[ord(ch)]
+        assert checker.getSkeleton(ch) == checker.getSkeleton(target), (ch, target)
+    for n, made in list(looks.drawing_tables()[1].items()):
+        assert len(made) > 1 or made in " \n" or unicodedata.normalize("NFKC", chr(n)) == made
