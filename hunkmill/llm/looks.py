@@ -107,19 +107,38 @@ def drawing_tables() -> tuple[dict[int, None], dict[int, str], dict[int, str]]:
     return gone, table, letters
 
 
+@cache
+def _by_character() -> tuple[frozenset[str], dict[str, str], dict[str, str], frozenset[str]]:
+    """The tables by character, and the characters that have a look-alike letter below their accents."""
+    gone, table, letters = drawing_tables()
+    below = (chr(n) for n in range(0x80, 0x20000) if not 0xD800 <= n <= 0xF8FF)
+    alike = frozenset(c for c in below if any(ord(x) in letters for x in unicodedata.normalize("NFD", c)))
+    return frozenset(map(chr, gone)), {chr(n): t for n, t in table.items()}, {chr(n): t for n, t in letters.items()}, alike
+
+
 def look(text: str, fold_case: bool = False) -> str:
-    """The form of one text."""
+    """The form of one text.
+
+    A text has few different characters beyond ASCII, and only those are looked up and replaced.
+    """
     plain = text.isascii()
     if not plain:  # what isn't drawn goes first, so that nothing stands between what belongs together
-        gone, table, letters = drawing_tables()
-        text = text.translate(gone)
-        if JOINER in text:
+        gone, table, letters, alike = _by_character()
+        used = set(text)
+        for c in used & gone:
+            text = text.replace(c, "")
+        if JOINER in used:
             text = LONE_JOINER.sub("", text)
     if "\r" in text:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
     if not plain:
-        # accents are taken off, so that the letter below them is seen, and put on again
-        text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(table)).translate(letters))
+        for c in used & table.keys():
+            text = text.replace(c, table[c])
+        if not alike.isdisjoint(text):  # accents are taken off, so that the letter below them is seen, and put on again
+            text = unicodedata.normalize("NFD", text)
+            for c in set(text) & letters.keys():
+                text = text.replace(c, letters[c])
+        text = unicodedata.normalize("NFC", text)
     return text.casefold() if fold_case else text
 
 
