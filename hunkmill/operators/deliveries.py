@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,29 +68,57 @@ def keep_latest(deliveries: DataFrame, key: str = "id", stamp: str = "updated_at
     return kept.unionByName(deliveries.where(F.col(key).isNull()))
 
 
+class Conflict(RuntimeError):
+    """Another writer published the version first."""
+
+
 class DeliveryLedger:
     """The winners of all deliveries so far, in partitions by month of first arrival.
 
-    On disk: versioned partition folders, an identifier index of (id, partition) deltas, the
-    removed deliveries of each commit, and a manifest that names the current files.  A commit
-    writes new folders beside the old ones and then moves the manifest's pointer with one
-    rename; a reader or a crashed writer never sees half a batch.
+    On disk: versioned partition folders, an identifier index of (id, partition) in hash buckets, the removed
+    deliveries, and one manifest per version that names the files of that version.  A commit writes new folders
+    beside the old ones and then adds the next manifest, which fails if there is one of that version: the
+    second of two writers reads the ledger again and repeats its merge.  A reader or a crashed writer never
+    sees half a batch.
+
+    A batch looks up its own buckets of the index only.  Index and removed deliveries are kept like a
+    log-structured tree: ``FAN_IN`` folders of a level are merged into one of the next, so there are few
+    of them after any number of commits; a partition of as many folders is rewritten with the next batch.
+
+    Files of versions no manifest names any more are left to the folder's clean-up.  On file systems without an
+    atomic rename or link two writers need a lock of their own.
     """
 
+    BUCKETS = 32
+    FAN_IN = 8
+    ATTEMPTS = 10
+    #: Manifests that stay for readers that have just looked them up.
+    OLD_MANIFESTS = 20
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     # -- manifest ---------------------------------------------------------------------
 
-    def _fs(self, path: str):
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+    def _path(self, name: str):
+        """(file system, qualified path) of a file of the ledger; a root without a scheme is the default file system's."""
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return fs, fs.makeQualified(target)
+
+    def _versions(self) -> list[int]:
+        fs, folder = self._path("manifests")
+        if not fs.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
 
     def manifest(self) -> dict:
         """The current manifest; that of an empty ledger if none was written yet."""
-        fs, at = self._fs(f"{self.root}/manifest.json")
-        if not fs.exists(at):
+        versions = self._versions()
+        if not versions:
             return {"version": 0, "parts": {}, "index": [], "removed": []}
+        fs, at = self._path(f"manifests/{versions[-1]:012d}.json")
         stream = fs.open(at)
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
@@ -97,19 +126,27 @@ class DeliveryLedger:
             stream.close()
 
     def _publish(self, manifest: dict) -> None:
-        fs, staged = self._fs(f"{self.root}/manifest-{uuid.uuid4().hex}.tmp")
+        """Add the manifest of a version, or raise :class:`Conflict` if that version is there."""
+        jvm = self.spark._jvm
+        fs, staged = self._path(f"manifests/{uuid.uuid4().hex}.tmp")
         out = fs.create(staged, True)
         out.write(json.dumps(manifest).encode())
         out.close()
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            staged.toUri() if staged.toUri().getScheme() else path("file://" + self.root).toUri(),
-            self.spark._jsc.hadoopConfiguration(),
-        )
-        option = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(option, 1)
-        options[0] = option.OVERWRITE
-        context.rename(staged, path(f"{self.root}/manifest.json"), options)
+        _, target = self._path(f"manifests/{manifest['version']:012d}.json")
+        try:
+            if staged.toUri().getScheme() == "file":  # whose rename checks first and moves then
+                jvm.java.nio.file.Files.createLink(jvm.java.io.File(target.toUri()).toPath(), jvm.java.io.File(staged.toUri()).toPath())
+            else:
+                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri(), self.spark._jsc.hadoopConfiguration())
+                context.rename(staged, target, self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                raise Conflict(str(manifest["version"])) from e
+            raise
+        finally:
+            fs.delete(staged, False)
+        for version in self._versions()[: -self.OLD_MANIFESTS]:
+            fs.delete(self._path(f"manifests/{version:012d}.json")[1], False)
 
     # -- reads ------------------------------------------------------------------------
 
@@ -124,16 +161,24 @@ class DeliveryLedger:
 
     def removed(self) -> DataFrame:
         """(id, delivery_id) of every delivery that lost, over all commits."""
-        return self._read(self.manifest()["removed"], REMOVED).distinct()
+        return self._read([x["path"] for x in self.manifest()["removed"]], REMOVED).distinct()
+
+    def _lookup(self, index: list[dict], incoming: DataFrame) -> list[int]:
+        """The partitions that hold incoming identifiers, from their buckets of the index."""
+        if not index:
+            return []
+        buckets = {r.bucket for r in incoming.select(_bucket(self.BUCKETS).alias("bucket")).distinct().collect()}  # BUCKETS numbers at most
+        paths = [f"{x['path']}/bucket={b}" for x in index for b in x["buckets"] if b in buckets]
+        hit = self._read(paths, INDEX).join(incoming.select("id").distinct(), "id", "left_semi").select("home").distinct()
+        return sorted(r.home for r in hit.collect())
 
     # -- the operator -----------------------------------------------------------------
 
     def ingest(self, batch: DataFrame, key: str, order: str, stamp: str, arrived: str) -> list[int]:
         """Merge a batch of deliveries; returns the historical partitions it rewrote.
 
-        The only rows that reach the driver are partition numbers, one per month.
+        The only rows that reach the driver are numbers of partitions, one per month, and of buckets.
         """
-        now = self.manifest()
         month = F.coalesce(F.year(arrived) * 12 + F.month(arrived) - 1, F.lit(0)).cast("int")
         incoming = workspace.keep(
             batch.where(F.col(key).isNotNull())
@@ -141,12 +186,21 @@ class DeliveryLedger:
             .agg(F.max(instant_us(F.col(stamp))).alias("at_us"), F.min(month).alias("home")),
             "incoming",
         )
-        touched: list[int] = []
-        if now["index"]:
-            known = self._read(now["index"], INDEX)
-            hit = known.join(incoming.select("id").distinct(), "id", "left_semi").select("home").distinct()
-            touched = sorted(r.home for r in hit.collect())
-        history = self._read([p for t in touched for p in now["parts"][str(t)]], SLIM)
+        try:
+            for _ in range(self.ATTEMPTS):
+                try:
+                    return self._merge(incoming)
+                except Conflict:
+                    continue
+            raise Conflict(f"{self.ATTEMPTS} attempts to publish failed")
+        finally:
+            workspace.forget(incoming)
+
+    def _merge(self, incoming: DataFrame) -> list[int]:
+        now = self.manifest()
+        touched = self._lookup(now["index"], incoming)
+        full = [int(p) for p, folders in now["parts"].items() if len(folders) >= self.FAN_IN]
+        history = self._read([f for t in {*touched, *full} for f in now["parts"][str(t)]], SLIM)
 
         rows = history.withColumn("new", F.lit(0)).unionByName(incoming.withColumn("new", F.lit(1)))
         won = workspace.keep(
@@ -163,21 +217,42 @@ class DeliveryLedger:
         won.drop("new").withColumn("part", F.col("home")).hint("rebalance", "part").write.partitionBy("part").parquet(
             f"{self.root}/{data}/parts"
         )
-        won.where("new = 1").select("id", "home").write.parquet(f"{self.root}/{data}/index")
         losers = rows.select("id", "delivery_id").join(won.select("delivery_id"), "delivery_id", "left_anti")
-        losers.select("id", "delivery_id").write.parquet(f"{self.root}/{data}/removed")
+        index = self._grown(now["index"], won.where("new = 1").select("id", "home"), INDEX, f"{data}/index", bucketed=True)
+        removed = self._grown(now["removed"], losers.select("id", "delivery_id"), REMOVED, f"{data}/removed")
 
-        parts = {p: folders for p, folders in now["parts"].items() if int(p) not in touched}
+        parts = {p: folders for p, folders in now["parts"].items() if int(p) not in {*touched, *full}}
         for r in won.select("home").distinct().collect():
             parts[str(r.home)] = [*parts.get(str(r.home), []), f"{data}/parts/part={r.home}"]
-        self._publish(
-            {
-                "version": version,
-                "parts": parts,
-                "index": [*now["index"], f"{data}/index"],
-                "removed": [*now["removed"], f"{data}/removed"],
-            }
-        )
-        for table in (incoming, won):
-            workspace.forget(table)
+        workspace.forget(won)
+        try:
+            self._publish({"version": version, "parts": parts, "index": index, "removed": removed})
+        except Conflict:
+            workspace.drop_path(self.spark, f"{self.root}/{data}")
+            raise
         return touched
+
+    def _grown(self, entries: list[dict], rows: DataFrame, schema: T.StructType, path: str, bucketed: bool = False) -> list[dict]:
+        """The entries and one with the rows; those of a level that is full go into it, and it to the next level."""
+        level, merged = 0, []
+        while len(same := [x for x in entries if x["level"] == level]) >= self.FAN_IN - 1:
+            merged += same
+            entries = [x for x in entries if x["level"] != level]
+            level += 1
+        if merged:
+            old = self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*[f"{self.root}/{x['path']}" for x in merged])
+            rows = rows.unionByName(old).distinct()
+        entry: dict = {"level": level, "path": path}
+        if bucketed:
+            rows = rows.withColumn("bucket", _bucket(self.BUCKETS))
+            rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/{path}")
+            fs, folder = self._path(path)
+            names = [f.getPath().getName() for f in fs.listStatus(folder)]
+            entry["buckets"] = sorted(int(n.split("=")[1]) for n in names if n.startswith("bucket="))
+        else:
+            rows.write.parquet(f"{self.root}/{path}")
+        return [*entries, entry]
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
-import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +29,14 @@ def jsonl_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "in_reply_to_id", "path", F.col("user.login").alias("login"), "updated_at")
 
 
-@query("select count(*) as good, count(*) filter (where delivery_id % 10 = 0) as bad from review_comments where delivery_id % 10 = 0 or true")
+@query("""select count(*) as good, (select count(*) from chat_records) as bad from review_comments""")
 def jsonl_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth as many broken lines among good ones: counted and skipped."""
+    """Comments, and beside them a line without an end, a bare text, a list or a value of another type per chat record: counted and skipped."""
     path = workspace.scratch_path(spark, "lenient")
     rows = load(spark, sf_dir, "review_comments")
     good = rows.select(F.to_json(F.struct(*FIELDS)).alias("value"))
-    bad = rows.where("delivery_id % 10 = 0").select(F.lit('{"id": 1, "body": ').alias("value"))
+    kinds = F.array(*map(F.lit, ('{"id": 1, "body": ', "no JSON", '[{"id": 1}]', '{"id": "seven", "body": "x"}')))
+    bad = load(spark, sf_dir, "chat_records").select(F.element_at(kinds, (F.pmod("record_id", F.lit(4)) + 1).cast("int")).alias("value"))
     good.unionByName(bad).unionByName(good.limit(1).select(F.lit("  ").alias("value"))).write.text(path)
     return jsonl.skipped(jsonl.scan(spark, [path], schemas.REVIEW_COMMENT, strict=False))
 
@@ -60,65 +63,84 @@ def forge_pages(rows: DataFrame, size: int = 500) -> str:
     """Pages of all given comments, written by the tasks; the folder's path.
 
     ``updated_at`` is written as the forge does, in UTC; pages are ranges of it, rows without a time come first.
-    The index, one row per page, is written by the driver.
+    Rows are shuffled once, by ranges; each task cuts its range into pages of ``size`` rows, the last one
+    smaller, and holds one page at a time.  The index, one row per page, is written by the driver.
     """
-    from hunkmill.operators.findings import number_rows
-
     spark = rows.sparkSession
-    rows = rows.withColumn("updated_at", utc_text("updated_at"))
-    numbered = number_rows(rows.withColumn("place", F.struct("updated_at", "delivery_id")), "place", "n")
-    page = F.floor((F.col("n") - 1) / size).alias("page")
-    folder = workspace.scratch_path(spark, "pages").removeprefix("file://")
-    slim = numbered.select(page, "updated_at", "n", F.to_json(F.struct(*FIELDS)).alias("row"))
-
-    def write(frames):
-        import pandas as pd
-
-        os.makedirs(folder, exist_ok=True)
-        frame = pd.concat(list(frames)).sort_values("n") if not isinstance(frames, pd.DataFrame) else frames.sort_values("n")
-        name = f"page-{int(frame['page'].iloc[0]):08d}.json"
-        with open(os.path.join(folder, name), "w") as f:
-            f.write("[" + ",".join(frame["row"]) + "]")
-        return pd.DataFrame([(name, frame["updated_at"].iloc[0], frame["updated_at"].iloc[-1])], columns=["name", "first", "last"]).fillna("")
-
-    index = slim.groupBy("page").applyInPandas(write, "name string, first string, last string").collect()
-    os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, "index.json"), "w") as f:
-        json.dump({"pages": sorted(list(r) for r in index)}, f)
+    folder = workspace.scratch_path(spark, "pages")
+    ordered = rows.withColumn("updated_at", utc_text("updated_at")).repartitionByRange("updated_at", "delivery_id").sortWithinPartitions("updated_at", "delivery_id")
+    slim = ordered.select("updated_at", F.to_json(F.struct(*FIELDS)).alias("row"))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, task = forge.Folder(folder), TaskContext.get().partitionId()  # type: ignore[union-attr]
+        page: list[tuple[str, str]] = []
+        made: list[tuple[str, str, str]] = []
+
+        def flush() -> None:
+            name = f"page-{task:06d}-{len(made):06d}.json"
+            target.write(name, ("[" + ",".join(row for _, row in page) + "]").encode())
+            made.append((name, page[0][0], page[-1][0]))
+            page.clear()
+
+        for batch in batches:
+            for at, row in zip(*(batch.column(c).to_pylist() for c in ("updated_at", "row")), strict=True):
+                page.append((at or "", row))
+                if len(page) == size:
+                    flush()
+        if page:
+            flush()
+        yield pa.RecordBatch.from_arrays([pa.array([m[k] for m in made], pa.string()) for k in range(3)], names=["name", "first", "last"])
+
+    index = slim.mapInArrow(write, "name string, first string, last string").collect()
+    forge.Folder(folder).write("index.json", json.dumps({"pages": sorted(list(r) for r in index)}).encode())
     return folder
 
 
-PLAIN = "regexp_matches(updated_at, '^[0-9T:-]{19}Z$')"
-
-
-def _plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The comments that the two queries below are defined over, by their SQL: those with a time in the plain form."""
-    return load(spark, sf_dir, "review_comments").where(F.col("updated_at").rlike("^[0-9T:-]{19}Z$"))
+#: DuckDB's form of :func:`utc_text`.
+STAMP_SQL = "coalesce(replace((try_cast(trim(updated_at) as timestamptz) at time zone 'UTC')::varchar, ' ', 'T') || 'Z', updated_at)"
 
 
-@query(f"select id, updated_at from review_comments where {PLAIN} and updated_at >= '2023-01-01T00:00:00Z' and updated_at < '2025-01-01T00:00:00Z'")
+@query(f"select id, {STAMP_SQL} as updated_at from review_comments where {STAMP_SQL} >= '2023-01-01T00:00:00Z' and {STAMP_SQL} < '2025-01-01T00:00:00Z'")
 def forge_windowed_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four windows of time, one task each, with the upper bound pushed into the scan."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(forge.ForgeComments)
-    pages = forge_pages(_plain(spark, sf_dir))
+    """All comments as pages; four windows of time, one task each, with the upper bound pushed into the scan."""
+    forge.register(spark)
+    pages = forge_pages(load(spark, sf_dir, "review_comments"))
     reader = spark.read.format("forge_comments").option("pages", pages).option("since", "2023-01-01T00:00:00Z").option("workers", 4)
     return reader.load().where("updated_at < '2025-01-01T00:00:00Z'").select("id", "updated_at")
 
 
-@query(f"select count(distinct id) as ids, max(updated_at) as mark from review_comments where {PLAIN}")
+@query(f"select count(distinct id) as ids, max({STAMP_SQL}) as mark from review_comments")
 def forge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages as a stream into the shared folder; rows at a mark come twice and are told apart by identifier."""
-    spark.dataSource.register(forge.ForgeComments)
-    pages = forge_pages(_plain(spark, sf_dir), 2000)
+    """All comments as pages, streamed into the shared folder in several batches; rows at a mark come twice and are told apart by identifier."""
+    forge.register(spark)
+    pages = forge_pages(load(spark, sf_dir, "review_comments"), 2000)
+    per_batch = max(4, len(forge.Pages(pages).index) // 4)
     out, check = workspace.scratch_path(spark, "crawl"), workspace.scratch_path(spark, "crawl-check")
-    stream = spark.readStream.format("forge_comments").option("pages", pages).option("pages_per_batch", 1_000_000).load()
-    q = stream.writeStream.format("json").option("checkpointLocation", check).trigger(once=True).start(out)
-    q.awaitTermination()
-    back = spark.read.schema(schemas.REVIEW_COMMENT).json(out)
+    stream = spark.readStream.format("forge_comments").option("pages", pages).option("pages_per_batch", per_batch).load()
+    q = stream.writeStream.format("parquet").option("checkpointLocation", check).start(out)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    back = spark.read.schema(schemas.REVIEW_COMMENT).parquet(out)
     return back.agg(F.countDistinct("id").alias("ids"), F.max("updated_at").alias("mark"))
 
 
+@query(
+    f"""with c as (select {STAMP_SQL} as stamp from review_comments where {STAMP_SQL} < '2025-01-01T00:00:00Z'),
+    m as (select max(stamp) as mark from c) select mark as checkpoint, count(*) as again from c, m where stamp >= mark group by mark"""
+)
+def crawl_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl that ended at a checkpoint, and how many of its rows a second one from there on would read again."""
+    forge.register(spark)
+    pages = forge_pages(load(spark, sf_dir, "review_comments"))
+    reader = spark.read.format("forge_comments").option("pages", pages).option("until", "2025-01-01T00:00:00Z").option("workers", 4)
+    path = workspace.scratch_path(spark, "resume") + "/comments.jsonl"
+    forge.save_checkpoint(path, reader.load().agg(F.max("updated_at").alias("m")).first().m)
+    since = forge.resume_mark(None, path)
+    return reader.option("since", since).load().agg(F.lit(since).alias("checkpoint"), F.count("*").alias("again"))
+
+
 @query()
 def tokenized_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of the bodies by a tokenizer file; null bodies have none."""
@@ -130,13 +152,11 @@ def tokenized_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tensor_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two shards written and scanned with a name prefix; adapters merged where both matrices are there."""
     rng = np.random.default_rng(0)
-    folder = workspace.scratch_path(spark, "tensors").removeprefix("file://")
-    os.makedirs(folder)
+    folder = workspace.scratch_path(spark, "tensors")
     base = {f"model.layers.{i}.self_attn.q_proj.weight": rng.normal(size=(4, 4)) for i in range(4)} | {"lm_head.weight": rng.normal(size=(4, 4))}
     lora = {f"base_model.model.model.layers.{i}.self_attn.q_proj.lora_{m}.weight": rng.normal(size=s) for i in range(2) for m, s in (("A", (2, 4)), ("B", (4, 2)))}
     for name, part in (("a.safetensors", base), ("b.safetensors", lora)):
-        with open(os.path.join(folder, name), "wb") as f:
-            f.write(models.write_tensors(part))
+        forge.Folder(folder).write(name, models.write_tensors(part))
     weights = models.scan_tensors(spark, folder, "model.").select("name", "tensor")
     pairs = models.pair_adapters(weights, models.scan_tensors(spark, folder, "base_model.").select("name", "tensor"))
     return pairs.select("name", F.size("w").alias("w"), F.size("a").alias("a"), F.size("b").alias("b")).orderBy("name")

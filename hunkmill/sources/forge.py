@@ -3,7 +3,10 @@
 ``spark.read.format("forge_comments").option("pages", FOLDER)`` reads pages of comments in the forge's JSON
 from a folder with an ``index.json`` ({"pages": [[name, first, last], ...]}, ordered by ``updated_at``).  With
 ``since`` and ``until`` and ``workers`` the time between is cut into equal half-open windows, one task each;
-filters on ``updated_at`` are pushed into the scan.  The stream's offset is the largest ``updated_at`` read.
+filters on ``updated_at`` are pushed into the scan.  The stream's offset is the largest ``updated_at`` read; its
+pages are read by the tasks, one each, and only the index by the driver.
+
+The folder may be on any file system that pyarrow knows; all machines must see it.
 
 The HTTP side is a decision table and header parsers without a connection of their own, so that a transport
 can be injected and everything can be tested.
@@ -17,9 +20,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
+from pyarrow import fs as arrow_fs
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
+    DataSourceStreamReader,
     EqualTo,
     Filter,
     GreaterThan,
@@ -27,7 +33,6 @@ from pyspark.sql.datasource import (
     InputPartition,
     LessThan,
     LessThanOrEqual,
-    SimpleDataSourceStreamReader,
 )
 from pyspark.sql.types import StructType
 
@@ -122,24 +127,41 @@ def as_tuple(row: dict) -> tuple:
     return tuple(out)
 
 
+class Folder:
+    """Small files of a folder, wherever it is."""
+
+    def __init__(self, folder: str):
+        self.fs, self.root = arrow_fs.FileSystem.from_uri(folder if "://" in folder else "file://" + os.path.abspath(folder.removeprefix("file:")))
+
+    def read(self, name: str) -> bytes:
+        with self.fs.open_input_stream(f"{self.root}/{name}") as f:
+            return f.read()
+
+    def write(self, name: str, content: bytes) -> None:
+        self.fs.create_dir(self.root, recursive=True)
+        with self.fs.open_output_stream(f"{self.root}/{name}") as f:
+            f.write(content)
+
+
+def in_window(row: dict, since: str | None, until: str | None) -> bool:
+    """Whether a row was updated from ``since`` on and before ``until``; rows without a time are in the first window only."""
+    at = row.get("updated_at") or ""
+    return (since is None or at >= since) and (until is None or at < until)
+
+
 class Pages:
     """Pages of a folder, ordered by time."""
 
     def __init__(self, folder: str):
-        self.folder = folder
-        with open(os.path.join(folder, "index.json")) as f:
-            self.index = json.load(f)["pages"]
+        self.folder = Folder(folder)
+        self.index = json.loads(self.folder.read("index.json"))["pages"]
 
     def rows(self, since: str | None, until: str | None) -> Iterator[dict]:
         """From ``since`` on, before ``until``; pages outside aren't opened."""
         for name, first, last in self.index:
             if (since is not None and last < since) or (until is not None and first >= until):
                 continue
-            with open(os.path.join(self.folder, name)) as f:
-                for row in json.load(f):
-                    at = row.get("updated_at") or ""
-                    if (since is None or at >= since) and (until is None or at < until):
-                        yield row
+            yield from (row for row in json.loads(self.folder.read(name)) if in_window(row, since, until))
 
 
 @dataclass
@@ -184,33 +206,73 @@ class _Reader(DataSourceReader):
             yield as_tuple(row)
 
 
-class _Stream(SimpleDataSourceStreamReader):
+@dataclass
+class Page(InputPartition):
+    name: str
+    since: str | None
+    until: str | None
+
+
+class _Stream(DataSourceStreamReader):
     """Pages in order of time; the offset is the mark from which the next read starts, inclusive.
 
-    Rows at the mark come again with the next page and are told apart downstream by their identifier.
+    Rows at the mark come again with the next batch and are told apart downstream by their identifier.  A batch
+    has ``pages_per_batch`` pages, or more if the next one ends at the same mark; each is a task of its own.
     """
 
     def __init__(self, options: dict[str, str]):
-        self.folder, self.start = options["pages"], options.get("since", "")
+        self.folder, self.start = options["pages"], options.get("since")
         self.most = int(options.get("pages_per_batch", "1"))
+        self.mark: str | None = None  # up to where batches have been planned
 
     def initialOffset(self) -> dict:
         return {"since": self.start}
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        pages = [p for p in Pages(self.folder).index if p[2] > start["since"]][: self.most]
-        if not pages:
-            return iter(()), start
-        end = {"since": max(p[2] for p in pages)}
-        return self.readBetweenOffsets(start, end), end
+    def latestOffset(self) -> dict:
+        mark = self.mark if self.mark is not None else self.start
+        ahead = [last for _, _, last in Pages(self.folder).index if mark is None or last > mark]
+        if ahead:
+            self.mark = mark = max(ahead[: self.most])
+        return {"since": mark}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        since, end_mark = start["since"], end["since"]
+        self.mark = end_mark if self.mark is None else max(self.mark, end_mark or "")  # also after a restart
+        if end_mark is None or since == end_mark:
+            return []
+        until = end_mark + "\0"
+        return [Page(name, since, until) for name, first, last in Pages(self.folder).index if (since is None or last >= since) and first < until]
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return map(as_tuple, Pages(self.folder).rows(start["since"], end["since"] + "\0"))
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        rows = json.loads(Folder(self.folder).read(partition.name))
+        return (as_tuple(row) for row in rows if in_window(row, partition.since, partition.until))
 
     def commit(self, end: dict) -> None:
         """Nothing to release; the stream's checkpoint holds the mark."""
 
 
+def checkpoint_name(out: str) -> str:
+    """The checkpoint beside an output: its name with another ending."""
+    folder, _, name = out.rpartition("/")
+    return f"{folder}/{name.rpartition('.')[0] or name}.checkpoint"
+
+
+def save_checkpoint(out: str, mark: str | None) -> None:
+    folder, _, name = checkpoint_name(out).rpartition("/")
+    Folder(folder).write(name, (mark or "").encode())
+
+
+def resume_mark(since: str | None, out: str) -> str | None:
+    """Where a crawl into ``out`` starts: the given mark, else the checkpoint's; a blank one is none."""
+    if since is None:
+        folder, _, name = checkpoint_name(out).rpartition("/")
+        try:
+            since = Folder(folder).read(name).decode()
+        except FileNotFoundError:
+            return None
+    return since.strip() or None
+
+
 class ForgeComments(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -222,20 +284,24 @@ class ForgeComments(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return _Reader(self.options)
 
-    def simpleStreamReader(self, schema: StructType) -> SimpleDataSourceStreamReader:
+    def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         return _Stream(self.options)
 
 
+def register(spark: SparkSession) -> None:
+    """Make the format known to a session, with the push-down of filters into Python sources, which Spark has off by default."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ForgeComments)
+
+
 def write_pages(rows: list[dict], folder: str, size: int = 100) -> None:
     """A fixture folder from rows, ordered by ``updated_at``."""
-    os.makedirs(folder, exist_ok=True)
+    target = Folder(folder)
     ordered = sorted(rows, key=lambda r: (r["updated_at"], r["id"]))
     index = []
     for k in range(0, len(ordered), size):
         page = ordered[k : k + size]
         name = f"page-{k // size:05d}.json"
-        with open(os.path.join(folder, name), "w") as f:
-            json.dump(page, f)
+        target.write(name, json.dumps(page).encode())
         index.append([name, page[0]["updated_at"], page[-1]["updated_at"]])
-    with open(os.path.join(folder, "index.json"), "w") as f:
-        json.dump({"pages": index}, f)
+    target.write("index.json", json.dumps({"pages": index}).encode())

@@ -68,3 +68,53 @@ def test_only_affected_partitions_are_rewritten(spark):
     assert {r.id: r.delivery_id for r in ledger.winners().collect()} == {1: 1, 2: 9, 3: 3, 4: 4, 7: 10}
     assert ledger.ingest(spark.createDataFrame([], SCHEMA), "id", "delivery_id", "updated_at", "ingested_at") == []
     assert ledger.winners().count() == 5
+
+
+def test_two_writers_lose_no_batch(spark):
+    """Both read the same version; the second to publish repeats its merge."""
+    import threading
+
+    rows = rows_of(300, 40, 3)
+    path = workspace.scratch_path(spark, "t")
+    together, failed = threading.Barrier(2, timeout=120), []
+
+    class Slow(DeliveryLedger):
+        waited = False
+
+        def _publish(self, manifest):
+            if not self.waited:
+                self.waited = True
+                together.wait()
+            super()._publish(manifest)
+
+    def write(part):
+        try:
+            Slow(spark, path).ingest(spark.createDataFrame(part, SCHEMA), "id", "delivery_id", "updated_at", "ingested_at")
+        except Exception as e:
+            failed.append(e)
+
+    writers = [threading.Thread(target=write, args=(part,)) for part in (rows[:150], rows[150:])]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    ledger = DeliveryLedger(spark, path)
+    assert failed == [] and ledger.manifest()["version"] == 2
+    expected = brute(rows)
+    assert {r.id: r.delivery_id for r in ledger.winners().collect()} == expected
+    assert {(r.id, r.delivery_id) for r in ledger.removed().collect()} == {(i, d) for i, d, *_ in rows if i is not None and expected[i] != d}
+
+
+def test_many_commits_leave_few_folders_and_a_batch_reads_its_buckets(spark, monkeypatch):
+    monkeypatch.setattr(DeliveryLedger, "FAN_IN", 3)
+    ledger = DeliveryLedger(spark, workspace.scratch_path(spark, "t").removeprefix("file://"))  # the default file system's
+    rows = rows_of(160, 30, 5)
+    for k in range(0, 160, 20):
+        ledger.ingest(spark.createDataFrame(rows[k : k + 20], SCHEMA), "id", "delivery_id", "updated_at", "ingested_at")
+        now = ledger.manifest()
+        assert max(len(now["index"]), len(now["removed"])) <= 5 and max(map(len, now["parts"].values())) <= 3
+    assert {r.id: r.delivery_id for r in ledger.winners().collect()} == brute(rows)
+    read = []
+    monkeypatch.setattr(ledger, "_read", lambda paths, schema: read.extend(paths) or DeliveryLedger._read(ledger, paths, schema))
+    ledger.ingest(spark.createDataFrame(rows[:1], SCHEMA).selectExpr("7L as id", "delivery_id", "updated_at", "ingested_at"), "id", "delivery_id", "updated_at", "ingested_at")
+    assert len({p.split("bucket=")[1] for p in read if "bucket=" in p}) == 1

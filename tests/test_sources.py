@@ -54,7 +54,7 @@ ROWS = [{"id": k, "updated_at": forge.stamp(1_700_000_000 + 60 * k), "body": f"b
 
 def test_source_reads_each_row_once_in_windows(spark, tmp_path):
     forge.write_pages(ROWS, str(tmp_path), 7)
-    spark.dataSource.register(forge.ForgeComments)
+    forge.register(spark)
     for workers in (1, 3, 8):
         df = spark.read.format("forge_comments").option("pages", str(tmp_path)).option("workers", workers).load()
         assert sorted(r.id for r in df.collect()) == list(range(50))
@@ -67,18 +67,34 @@ def test_source_reads_each_row_once_in_windows(spark, tmp_path):
 
 def test_stream_resumes_from_its_mark(spark, tmp_path):
     pages, out = str(tmp_path / "p"), str(tmp_path / "o")
-    spark.dataSource.register(forge.ForgeComments)
+    forge.register(spark)
 
-    def run():
-        s = spark.readStream.format("forge_comments").option("pages", pages).option("pages_per_batch", 100).load()
-        s.writeStream.format("json").option("checkpointLocation", str(tmp_path / "c")).trigger(once=True).start(out).awaitTermination()
-        return sorted(r.id for r in spark.read.schema(schemas.REVIEW_COMMENT).json(out).collect())
+    def run(per_batch):
+        s = spark.readStream.format("forge_comments").option("pages", pages).option("pages_per_batch", per_batch).load()
+        q = s.writeStream.format("json").option("checkpointLocation", str(tmp_path / "c")).start(out)
+        q.processAllAvailable()
+        batches = [p.batchId for p in q.recentProgress if p.numInputRows]
+        q.stop()
+        return sorted(r.id for r in spark.read.schema(schemas.REVIEW_COMMENT).json(out).collect()), len(batches)
 
     forge.write_pages(ROWS[:20], pages, 5)
-    assert run() == list(range(20))
+    ids, batches = run(100)
+    assert ids == list(range(20)) and batches == 1
     forge.write_pages(ROWS, pages, 5)
-    again = run()
-    assert set(again) == set(range(50)) and len(again) == 51  # the row at the mark comes twice
+    ids, batches = run(2)
+    assert set(ids) == set(range(50)) and batches == 3
+    assert len(ids) == 50 + 3  # the row at each mark comes twice
+
+
+def test_resume_marks(tmp_path):
+    out = str(tmp_path / "x" / "comments.jsonl")
+    assert forge.resume_mark(None, out) is None and forge.resume_mark(" 2024 ", out) == "2024"
+    forge.save_checkpoint(out, "2023-05-06T00:00:00Z\n")
+    assert (tmp_path / "x" / "comments.checkpoint").exists()
+    assert forge.resume_mark(None, out) == "2023-05-06T00:00:00Z" and forge.resume_mark("2024", out) == "2024"
+    assert forge.resume_mark(" ", out) is None
+    forge.save_checkpoint(out, None)
+    assert forge.resume_mark(None, out) is None
 
 
 def test_jsonl(spark, tmp_path):
@@ -143,8 +159,7 @@ def test_pages_hold_rows_with_any_form_of_time(spark):
 
     from hunkmill.operators import scans
 
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(forge.ForgeComments)
+    forge.register(spark)
     times = ["2024-01-01T00:00:00Z", "2024-01-01T01:30:00+02:00", "2023-12-31T23:00:00.000Z", "2023-12-31T20:00:00-05:00", "2024-01-01T02:00:00.250Z", None]
     whole = ["2024-01-01T00:00:00Z", "2023-12-31T23:30:00Z", "2023-12-31T23:00:00Z", "2024-01-01T01:00:00Z", "2024-01-01T02:00:00.25Z", None]
     blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.REVIEW_COMMENT.fields if f.name not in ("id", "updated_at")]
