@@ -85,21 +85,21 @@ def files(lines: DataFrame) -> DataFrame:
 def hunks(lines: DataFrame) -> DataFrame:
     """(doc, f, h, header, new_start, old_start, raw, last_new) of every hunk, the raw text verbatim.
 
-    ``last_new`` is the highest new line number in the hunk, the start if it has none.
+    ``last_new`` is the highest new line number in the hunk, the start if it has none.  One aggregation over the
+    numbered lines gives text, header and last line.
     """
-    numbered_ = numbered(lines)
     raw = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n")
-    body = lines.where("h > 0 and mark in ('H', 'L')").groupBy("doc", "f", "h").agg(raw.alias("raw"), F.min_by("line", "pos").alias("header"))
-    last = numbered_.groupBy("doc", "f", "h").agg(F.max("new_no").alias("top"))
+    top = F.max(F.when(F.col("kind").isin("ctx", "add"), F.col("new"))).alias("top")
+    body = _in_hunks(lines).groupBy("doc", "f", "h").agg(raw.alias("raw"), F.min_by("line", "pos").alias("header"), top)
     start = hunk_start(F.col("header"), r"\+")
-    return body.join(last, ["doc", "f", "h"], "left").select(
+    return body.select(
         "doc", "f", "h", "header", start.alias("new_start"), hunk_start(F.col("header"), "-").alias("old_start"), "raw",
         F.coalesce("top", start).alias("last_new"),
     )
 
 
-def numbered(lines: DataFrame) -> DataFrame:
-    """(doc, f, h, pos, kind, old_no, new_no, text) of every line in a hunk, without the no-newline note."""
+def _in_hunks(lines: DataFrame) -> DataFrame:
+    """The lines of hunks with their kind and where both sides stand."""
     within = W.partitionBy("doc", "f", "h").orderBy("pos")
     before = within.rowsBetween(W.unboundedPreceding, -1)
     first = F.substring("line", 1, 1)
@@ -108,9 +108,13 @@ def numbered(lines: DataFrame) -> DataFrame:
     header = F.first("line").over(within.rowsBetween(W.unboundedPreceding, 0))
     start = {sign: hunk_start(header, sign) for sign in ("-", r"\+")}
     seen = {side: F.coalesce(F.sum(F.col("kind").isin("ctx", side).cast("int")).over(before), F.lit(0)) for side in ("add", "del")}
-    rows = rows.withColumn("new", start[r"\+"] + seen["add"]).withColumn("old", start["-"] + seen["del"])
-    marked = first.isin("+", "-", " ")
-    return rows.where("kind in ('ctx', 'add', 'del')").select(
+    return rows.withColumn("new", start[r"\+"] + seen["add"]).withColumn("old", start["-"] + seen["del"])
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """(doc, f, h, pos, kind, old_no, new_no, text) of every line in a hunk, without the no-newline note."""
+    marked = F.substring("line", 1, 1).isin("+", "-", " ")
+    return _in_hunks(lines).where("kind in ('ctx', 'add', 'del')").select(
         "doc", "f", "h", "pos", "kind",
         F.when(F.col("kind") != "add", F.col("old")).alias("old_no"),
         F.when(F.col("kind") != "del", F.col("new")).alias("new_no"),

@@ -7,9 +7,10 @@ error to four fifths; both are clamped.  The least time seen so far never forget
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any, NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,11 +94,30 @@ def fold(answers: Column, least: int = 1, most: int = 32, start: int = 2) -> Col
 def settled_limits(rows: DataFrame, by: str, order: list[str], rtt: Column, ok: Column) -> DataFrame:
     """(by, answers, limit): where each controller's limit stands after all its answers in order.
 
-    A controller's answers are a sequence by nature; one controller's part of the stream is one task's work.
+    A controller's answers are a sequence by nature, so they are one task's work, but they pass through it sorted,
+    a batch at a time, and are never gathered.
     """
-    packed = F.sort_array(F.collect_list(F.struct(*order, rtt.alias("rtt"), ok.alias("ok"))))
-    folded = rows.groupBy(by).agg(packed.alias("answers"))
-    return folded.select(by, F.size("answers").alias("answers"), F.floor(fold(F.col("answers"))["limit"]).alias("limit"))
+    slim = rows.select(by, *order, rtt.cast("double").alias("rtt"), ok.alias("ok"))
+    kind = slim.schema[by].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, limiter, answers = None, Limiter(1, 32, 2), 0
+        names, schema = [by, "answers", "limit"], None
+        for batch in batches:
+            done: list[tuple] = []
+            schema = batch.schema.field(by).type
+            for k, seconds, good in zip(*(batch.column(c).to_pylist() for c in (by, "rtt", "ok")), strict=True):
+                if answers and k != key:
+                    done.append((key, answers, limiter.limit))
+                    limiter, answers = Limiter(1, 32, 2), 0
+                key = k
+                answers += 1
+                limiter.success(seconds) if good else limiter.error()
+            yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate((schema, pa.int32(), pa.int64()))], names=names)
+        if answers:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((key, schema), (answers, pa.int32()), (limiter.limit, pa.int64()))], names=names)
+
+    return slim.repartition(by).sortWithinPartitions(by, *order).mapInArrow(run, f"{by} {kind}, answers int, limit bigint")
 
 
 @query(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from hunkmill.functions import duck, text
 from hunkmill.operators import diffs
@@ -203,14 +204,11 @@ def render_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "critic_findings").select("session_id", "finding_id", critic_html().alias("html"))
 
 
-@query(
-    """select path, count(*) as n, string_agg(id::varchar, ',' order by delivery_id) as ids from review_comments where path is not null group by 1"""
-)
+@query("select path, id, delivery_id, row_number() over (partition by path order by delivery_id) as place from review_comments where path is not null")
 def file_comment_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments of each path in input order; only identifiers are gathered."""
-    rows = load(spark, sf_dir, "review_comments").where("path is not null")
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("delivery_id", "id"))), lambda x: x["id"].cast("string"))
-    return rows.groupBy("path").agg(F.count("*").alias("n"), F.array_join(ordered, ",").alias("ids"))
+    """Comments of each path in input order, one row each; a path's comments are sorted, never gathered."""
+    place = F.row_number().over(W.partitionBy("path").orderBy("delivery_id"))
+    return load(spark, sf_dir, "review_comments").where("path is not null").select("path", "id", "delivery_id", place.cast("bigint").alias("place"))
 
 
 @query("select repo, number, max(fetched_at) as fetched_at, arg_max(changed_files, fetched_at) as changed_files from pr_meta group by all")

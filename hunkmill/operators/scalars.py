@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from hunkmill.functions import duck, text
 from hunkmill.functions import vectors as V
 from hunkmill.operators import critics, examples
+from hunkmill.operators.components import components
 from hunkmill.registry import query
 from hunkmill.sources import models
 from hunkmill.workspace import load
@@ -217,43 +218,68 @@ def longest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").orderBy(F.desc_nulls_last("n_chars"), "doc_id").limit(20).select("doc_id", "n_chars")
 
 
+def shuffle_key(key: Column, epoch: int, seed: int = 0) -> Column:
+    """What the rows of an epoch are ordered by: a hash that differs by epoch and can be repeated, then the key."""
+    return F.struct(F.md5(F.concat_ws("-", key.cast("string"), F.lit(seed), F.lit(epoch))).alias("h"), key.alias("k"))
+
+
 def shuffled(rows: DataFrame, key: str, epoch: int, seed: int = 0) -> DataFrame:
     """Rows in an order that differs by epoch and can be repeated."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed), F.lit(epoch)), key)
+    return rows.orderBy(shuffle_key(F.col(key), epoch, seed))
 
 
-@query("select count(*) as n, count(distinct doc_id) as ids from documents")
+@query(
+    """select epoch, doc_id, row_number() over (partition by epoch order by md5(doc_id || '-0-' || epoch), doc_id) as place
+    from documents, (values (1), (2)) e(epoch)"""
+)
 def epoch_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A shuffle loses and repeats nothing."""
-    return shuffled(load(spark, sf_dir, "documents"), "doc_id", 1).agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"))
+    """The place of every document in two epochs."""
+    from hunkmill.operators.findings import number_rows
+
+    rows = load(spark, sf_dir, "documents").select("doc_id")
+    numbered = [number_rows(rows.withColumn("order", shuffle_key(F.col("doc_id"), e)), "order", "place").select(F.lit(e).alias("epoch"), "doc_id", "place") for e in (1, 2)]
+    return numbered[0].unionByName(numbered[1])
 
 
 def touched_later(flags: DataFrame, changes: DataFrame, reach: int = 0) -> DataFrame:
-    """Flags (flag, path, line, at) whose line a later change (path, first, last, at) touched.
+    """Flags (flag, repo, path, line, at) whose line a later change (repo, path, first, last, at) touched.
 
-    Lines fall into buckets of a fixed width and a change is listed in each bucket it meets, so the join is
-    by equality of path and bucket.
+    A change's lines are taken apart into blocks of 1, 2, 4, ... lines that begin at multiples of their size, two
+    of each size at most, and of all changes of a block only the latest matters; it combines on the map side.  A
+    line lies in one block of each size.  So a change of any length gives few rows, and neither a file with very many changes
+    nor a line with very many flags brings flags and changes together in pairs.
     """
-    width = 64
-    buckets = F.explode(F.sequence(F.floor((F.col("first") - reach) / width), F.floor((F.col("last") + reach) / width))).alias("bucket")
-    spans = changes.where("first <= last").select("path", F.col("first"), F.col("last"), F.col("at").alias("changed"), buckets)
-    placed = flags.where("line is not null").withColumn("bucket", F.floor(F.col("line") / width))
-    met = placed.join(spans, ["path", "bucket"]).where((F.col("changed") > F.col("at")) & F.col("line").between(F.col("first") - reach, F.col("last") + reach))
-    return met.select("flag").distinct()
+    spans = changes.where("first <= last").select("repo", "path", (F.col("first") - reach).alias("first"), (F.col("last") + reach).alias("last"), "at")
+    longest = spans.agg(F.max(F.col("last") - F.col("first") + 1).alias("n")).first().n or 1
+    sizes = range(int(longest).bit_length())
+    blocks = []
+    for k in sizes:
+        low, high = F.shiftright(F.col("first") + (2**k - 1), k), F.shiftright(F.col("last") + 1, k) - 1
+        blocks.append(F.when((low <= high) & (low.bitwiseAND(F.lit(1)) == 1), F.struct(F.lit(k).alias("size"), low.alias("block"))))
+        blocks.append(F.when((low <= high) & (high.bitwiseAND(F.lit(1)) == 0), F.struct(F.lit(k).alias("size"), high.alias("block"))))
+    parts = spans.select("repo", "path", "at", F.explode(F.array_compact(F.array(*blocks))).alias("b"))
+    latest = parts.groupBy("repo", "path", "b.size", "b.block").agg(F.max("at").alias("changed"))
+    lines = flags.where("line is not null").select("repo", "path", F.col("line").cast("bigint").alias("line")).distinct()
+    around = F.explode(F.array(*[F.struct(F.lit(k).alias("size"), F.shiftright("line", k).alias("block")) for k in sizes])).alias("b")
+    met = lines.select("repo", "path", "line", around).select("repo", "path", "line", "b.*").join(latest, ["repo", "path", "size", "block"])
+    last = met.groupBy("repo", "path", "line").agg(F.max("changed").alias("changed"))
+    return flags.join(last, ["repo", "path", "line"]).where(F.col("changed") > F.col("at")).select("flag").distinct()
 
 
 @query(
-    r"""with spans as (select path, created_at as changed, coalesce(try_cast(regexp_extract(diff_hunk, '\+([0-9]+)', 1) as bigint), 0) as first,
-      coalesce(try_cast(regexp_extract(diff_hunk, '\+([0-9]+)', 1) as bigint), 0) + 10 as last from review_comments where path is not null and diff_hunk is not null)
-    select distinct r.delivery_id as flag from review_comments r join spans s on s.path = r.path and s.changed > r.created_at and r.line between s.first and s.last"""
+    rf"""with c as (select delivery_id, {duck.repo_of('pull_request_url')} as repo, path, line, try_cast(created_at as timestamptz) as made,
+      coalesce(try_cast(regexp_extract(diff_hunk, '\+([0-9]+)', 1) as bigint), 0) as first, diff_hunk from review_comments),
+    spans as (select repo, path, made as changed, first, first + 10 as last from c where path is not null and diff_hunk is not null)
+    select distinct r.delivery_id as flag from c r join spans s on s.repo = r.repo and s.path = r.path and s.changed > r.made and r.line between s.first and s.last"""
 )
 def acted_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Comments whose line a later hunk of the same file reaches; hunks stand in for commits."""
-    rows = load(spark, sf_dir, "review_comments")
+    """Comments whose line a later hunk of the same file of the same repository reaches; hunks stand in for commits."""
+    rows = load(spark, sf_dir, "review_comments").select(
+        "delivery_id", text.repo_of(F.col("pull_request_url")).alias("repo"), "path", "line", F.try_to_timestamp("created_at").alias("at"), "diff_hunk"
+    )
     start = F.coalesce(F.regexp_extract("diff_hunk", r"\+([0-9]+)", 1).try_cast("bigint"), F.lit(0))
-    spans = rows.where("path is not null and diff_hunk is not null").select("path", start.alias("first"), (start + 10).alias("last"), F.col("created_at").alias("at"))
-    flags = rows.select(F.col("delivery_id").alias("flag"), "path", "line", F.col("created_at").alias("at"))
-    return touched_later(flags, spans)
+    spans = rows.where("path is not null and diff_hunk is not null").select("repo", "path", start.alias("first"), (start + 10).alias("last"), "at")
+    return touched_later(rows.withColumnRenamed("delivery_id", "flag"), spans)
 
 
 def relabel(records: DataFrame, scores: DataFrame) -> DataFrame:
@@ -272,30 +298,58 @@ def relabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def related_concerns(findings: DataFrame, least: float = 0.5) -> DataFrame:
-    """(repo, pr, a, b, jaccard): findings of one pull request on different files whose word sets overlap.
+    """(repo, pr, a, b, jaccard): findings of one pull request on different files whose word sets overlap at least so much.
 
-    Words are joined by pull request and word, and only counts of shared words are kept.
+    Sets of n and m words that overlap so much share one of the first ``n - ceil(least x n) + 1`` words of either in any
+    common order.  In the order of how seldom a pull request uses them, those are seldom common words, so only
+    findings that may be related meet; each pair is then measured.
     """
     words = F.array_distinct(F.filter(F.split(F.lower("critic_comment"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    sets = findings.select("repo", "pr", "path", "finding_id", words.alias("words")).groupBy("repo", "pr", "path", "finding_id").agg(F.first("words").alias("words"))
-    flat = sets.select("repo", "pr", "path", "finding_id", F.size("words").alias("n"), F.explode("words").alias("word"))
-    a, b = (flat.select("repo", "pr", "word", *(F.col(c).alias(f"{c}_{s}") for c in ("path", "finding_id", "n"))) for s in "ab")
-    met = a.join(b, ["repo", "pr", "word"]).where("finding_id_a < finding_id_b and path_a <> path_b")
-    shared = met.groupBy("repo", "pr", F.col("finding_id_a").alias("a"), F.col("finding_id_b").alias("b"), "n_a", "n_b").agg(F.count("*").alias("k"))
-    score = F.col("k") / (F.col("n_a") + F.col("n_b") - F.col("k"))
-    return shared.where(score >= least).select("repo", "pr", "a", "b", F.round(score, 6).alias("jaccard"))
+    key = ["repo", "pr", "path", "finding_id"]
+    sets = findings.select(*key, words.alias("words")).groupBy(*key).agg(F.first("words").alias("words"))
+    flat = sets.select(*key, F.size("words").alias("n"), F.explode("words").alias("word"))
+    often = flat.groupBy("repo", "pr", "word").agg(F.count("*").alias("often"))
+    place = F.row_number().over(W.partitionBy(*key).orderBy("often", "word"))
+    first = flat.join(often, ["repo", "pr", "word"]).withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * F.lit(least) - 1e-9) + 1)
+    a, b = (first.select("repo", "pr", "word", *(F.col(c).alias(f"{c}_{s}") for c in ("path", "finding_id", "n"))) for s in "ab")
+    near = a.join(b, ["repo", "pr", "word"]).where("finding_id_a < finding_id_b and path_a <> path_b")
+    near = near.where(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(least) - 1e-9).select("repo", "pr", "path_a", "finding_id_a", "path_b", "finding_id_b").distinct()
+    left, right = (sets.select("repo", "pr", *(F.col(c).alias(f"{c}_{s}") for c in ("path", "finding_id", "words"))) for s in "ab")
+    both = near.join(left, ["repo", "pr", "path_a", "finding_id_a"]).join(right, ["repo", "pr", "path_b", "finding_id_b"])
+    shared = F.size(F.array_intersect("words_a", "words_b"))
+    score = shared / (F.size("words_a") + F.size("words_b") - shared)
+    return both.where(score >= least).select("repo", "pr", F.col("finding_id_a").alias("a"), F.col("finding_id_b").alias("b"), F.round(score, 6).alias("jaccard"))
+
+
+def concern_groups_of(findings: DataFrame, least: float = 0.5) -> DataFrame:
+    """(repo, pr, finding_id, concern): findings that related pairs tie together have one concern, its smallest finding."""
+    pairs = related_concerns(findings, least).select("repo", "pr", F.col("a").alias("u"), F.col("b").alias("v"))
+    tied = components(pairs, "repo", "pr").select("repo", "pr", F.col("node").alias("finding_id"), "root")
+    rows = findings.select("repo", "pr", "finding_id").distinct().join(tied, ["repo", "pr", "finding_id"], "left")
+    return rows.select("repo", "pr", "finding_id", F.coalesce("root", "finding_id").alias("concern"))
+
+
+RELATED_SQL = """w as (select distinct repo, pr, path, finding_id, list_distinct(list_filter(regexp_split_to_array(lower(critic_comment), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) as w from critic_findings),
+    p as (select a.repo, a.pr, a.finding_id as a, b.finding_id as b, len(list_intersect(a.w, b.w)) as k, len(a.w) + len(b.w) as n from w a join w b on a.repo = b.repo and a.pr = b.pr
+      and a.finding_id < b.finding_id and a.path <> b.path)"""
 
 
-@query(
-    """with w as (select distinct repo, pr, path, finding_id, list_distinct(list_filter(regexp_split_to_array(lower(critic_comment), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')) as w from critic_findings),
-    p as (select a.repo, a.pr, a.finding_id as a, b.finding_id as b, len(list_intersect(a.w, b.w)) as k, len(a.w) + len(b.w) as n from w a join w b on a.repo = b.repo and a.pr = b.pr
-      and a.finding_id < b.finding_id and a.path <> b.path)
-    select repo, pr, a, b, round(k / (n - k)::double, 6) as jaccard from p where k / (n - k)::double >= 0.1"""
-)
+@query(f"with {RELATED_SQL} select repo, pr, a, b, round(k / (n - k)::double, 6) as jaccard from p where k / (n - k)::double >= 0.1")
 def concern_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Related pairs; :func:`concern_groups` has the clusters they form."""
     return related_concerns(load(spark, sf_dir, "critic_findings"), 0.1)
 
 
+@query(
+    f"""with recursive {RELATED_SQL}, e as (select repo, pr, a as u, b as v from p where k / (n - k)::double >= 0.1 union select repo, pr, b, a from p where k / (n - k)::double >= 0.1),
+    r as (select distinct repo, pr, finding_id as u, finding_id as v from critic_findings union select r.repo, r.pr, r.u, e.v from r join e on e.repo = r.repo and e.pr = r.pr and e.u = r.v)
+    select repo, pr, u as finding_id, min(v) as concern from r group by all"""
+)
+def concern_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The concern of every finding."""
+    return concern_groups_of(load(spark, sf_dir, "critic_findings"), 0.1)
+
+
 @query(
     """select repo, pr, count(*) as comments, count(distinct i.user.login) as people, max(created_at) as last from issue_comments i group by 1, 2"""
 )
