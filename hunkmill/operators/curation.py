@@ -45,14 +45,15 @@ def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20)
     """
     slim = comments.select(
         "delivery_id", "id", "in_reply_to_id", F.col("user.login").alias("login"), "pull_request_url", "path", "diff_hunk",
-        F.coalesce("body", F.lit("")).alias("raw"),
+        F.coalesce("body", F.lit("")).alias("raw"), (F.col("path").isNull() | F.col("diff_hunk").isNull()).alias("bare"),
     )
+    # hunks are shuffled only if the result is asked for them
     marked = mark_first(spread(slim)).join(reply_counts(comments), F.col("id") == F.col("root"), "left").drop("root")
     cheap = (
         F.when(~F.col("is_first"), "dup")
         .when(F.col("in_reply_to_id").isNotNull(), "reply")
         .when(text.is_bot(F.col("login")), "bot")
-        .when(F.col("path").isNull() | F.col("diff_hunk").isNull(), "no_diff")
+        .when(F.col("bare"), "no_diff")
     )
     body = F.col("body")
     cleaned = marked.withColumn("reason", cheap).withColumn("replies", F.coalesce("replies", F.lit(0)))
@@ -65,7 +66,7 @@ def funnel(comments: DataFrame, min_score: float = MIN_SCORE, min_len: int = 20)
     scored = scored.withColumn("category", F.when(F.col("reason").isNull(), text.category_of(*signals)))
     low = F.col("score") < F.lit(min_score).cast("float")
     late = F.when(text.is_trivial(body, min_len), "trivial").when(low, "low_score").otherwise("kept")
-    return scored.withColumn("reason", F.coalesce("reason", late)).drop("raw", "is_first", "design", "nit")
+    return scored.withColumn("reason", F.coalesce("reason", late)).drop("raw", "bare", "is_first", "design", "nit")
 
 
 def chat_records(curated: DataFrame, system: str = text.SYSTEM) -> DataFrame:

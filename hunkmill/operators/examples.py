@@ -207,3 +207,40 @@ def strike_outs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Struck-out passages and withdrawn remarks removed."""
     body = F.regexp_replace("body", r"(?s)~~.*?~~|<s>.*?</s>", "")
     return load(spark, sf_dir, "issue_comments").select("comment_id", F.regexp_replace(body, r"(?i)\n*edit:\s*never ?mind.*$", "").alias("body"))
+
+
+# The settings of the supervised training run.
+TRAINING = {
+    "learning_rate_schedule": "cosine", "warmup_share": 0.03, "gradient_accumulation": 32, "batch": 1, "epochs": 3, "assistant_only_loss": True,
+    "packing": False, "evaluate_every": 100, "save_every": 200, "saves_kept": 3, "log_every": 10, "adapter_dropout": 0.05, "alpha_of_rank": 2,
+}
+
+
+def training_plan(records: DataFrame, settings: dict | None = None) -> DataFrame:
+    """(rows, steps, warmup_steps, evaluations, saves) of a run over the records, by the settings."""
+    s = TRAINING | (settings or {})
+    per_step = s["batch"] * s["gradient_accumulation"]
+    counted = records.agg(F.count("*").alias("rows")).withColumn("steps", F.ceil(F.col("rows") / per_step) * s["epochs"])
+    return counted.select(
+        "rows", "steps", F.ceil(F.col("steps") * F.lit(s["warmup_share"])).alias("warmup_steps"),
+        F.floor(F.col("steps") / s["evaluate_every"]).alias("evaluations"), F.floor(F.col("steps") / s["save_every"]).alias("saves"),
+    )
+
+
+def learning_rate_share(step: Column, steps: Column, warmup: Column) -> Column:
+    """The part of the highest learning rate at a step from 0: up in a line, then down along half a cosine."""
+    rising = step / F.greatest(warmup, F.lit(1))
+    falling = (F.cos((step - warmup) / F.greatest(steps - warmup, F.lit(1)) * F.pi()) + 1) / 2
+    return F.when(step < warmup, rising).otherwise(falling)
+
+
+@query(
+    """with n as (select count(*) as rows from chat_records), s as (select rows, (ceil(rows / 32) * 3)::bigint as steps from n), w as (select *, ceil(steps * 0.03::double)::bigint as warm from s)
+    select rows, steps, warm as warmup_steps, steps // 100 as evaluations, steps // 200 as saves, k as step,
+      round(case when k < warm then k / greatest(warm, 1) else (cos((k - warm) / greatest(steps - warm, 1) * pi()) + 1) / 2 end, 9) as share from w, unnest(range(0, steps)) r(k)"""
+)
+def training_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan of a run over all chat records, and each step's part of the learning rate."""
+    plan = training_plan(load(spark, sf_dir, "chat_records"))
+    step = plan.where("steps > 0").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("steps") - 1)).alias("step"))
+    return step.withColumn("share", F.round(learning_rate_share(F.col("step"), F.col("steps"), F.col("warmup_steps")), 9))

@@ -148,18 +148,23 @@ def tokenized_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("delivery_id", F.size(models.tokenizer_columns(F.col("body"), TOKENIZER)).alias("tokens"))
 
 
-@query()
+@query("select 'model.layers.' || label || '.self_attn.q_proj.weight' as name, 64::bigint as w, 8::bigint as a, 8::bigint as b, label % 2 = 0 as adapted from embeddings group by label")
 def tensor_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two shards written and scanned with a name prefix; adapters merged where both matrices are there."""
+    """A weight for each label of the vectors in two shards, an adapter for every second one; scanned by prefix and paired."""
+    labels = [r.label for r in load(spark, sf_dir, "embeddings").select("label").distinct().collect()]  # classes, few by nature
     rng = np.random.default_rng(0)
-    folder = workspace.scratch_path(spark, "tensors")
-    base = {f"model.layers.{i}.self_attn.q_proj.weight": rng.normal(size=(4, 4)) for i in range(4)} | {"lm_head.weight": rng.normal(size=(4, 4))}
-    lora = {f"base_model.model.model.layers.{i}.self_attn.q_proj.lora_{m}.weight": rng.normal(size=s) for i in range(2) for m, s in (("A", (2, 4)), ("B", (4, 2)))}
-    for name, part in (("a.safetensors", base), ("b.safetensors", lora)):
-        forge.Folder(folder).write(name, models.write_tensors(part))
+    folder, names = workspace.scratch_path(spark, "tensors"), {k: f"model.layers.{k}.self_attn.q_proj.weight" for k in labels}
+    for part in (0, 1):
+        some = {n: rng.normal(size=(8, 8)) for k, n in names.items() if k % 2 == part}
+        forge.Folder(folder).write(f"{part}.safetensors", models.write_tensors(some | {f"lm_head.{part}": rng.normal(size=(50, 8))}))
+    adapters = {n: (rng.normal(size=(1, 8)), rng.normal(size=(8, 1))) for k, n in names.items() if k % 2 == 0}
+    models.save_adapter(f"{folder}/adapter", adapters, "base", 2.0)
     weights = models.scan_tensors(spark, folder, "model.").select("name", "tensor")
-    pairs = models.pair_adapters(weights, models.scan_tensors(spark, folder, "base_model.").select("name", "tensor"))
-    return pairs.select("name", F.size("w").alias("w"), F.size("a").alias("a"), F.size("b").alias("b")).orderBy("name")
+    pairs = models.pair_adapters(weights, models.scan_tensors(spark, f"{folder}/adapter", "base_model.").select("name", "tensor"))
+    sizes = pairs.select("name", F.size("a").alias("a"), F.size("b").alias("b"))
+    eight = F.lit(8).cast("bigint")
+    joined = weights.select("name", F.size("tensor").cast("bigint").alias("w")).join(sizes, "name", "left")
+    return joined.select("name", "w", F.coalesce(F.col("a").cast("bigint"), eight).alias("a"), F.coalesce(F.col("b").cast("bigint"), eight).alias("b"), F.col("a").isNotNull().alias("adapted"))
 
 
 @query()

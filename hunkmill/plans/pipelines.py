@@ -114,3 +114,23 @@ def stub_review_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diff to findings with the stub; (finding_id, path, cited_line, grounded).  Its parts have SQL of their own."""
     made, _ = review(diffs.sample_diffs(load(spark, sf_dir, "review_comments")), "r/n", 7, "s", "2025-01-01T00:00:00Z")
     return made.select("finding_id", "path", "cited_line", "grounded")
+
+
+@query(
+    f"""with {curation.FUNNEL_CTE}, n as (select count(*) as seen, {", ".join(f"count(*) filter (where reason = '{r}') as {r}" for r in curation.REASONS)} from funnel)
+    select counter, n::bigint as n from (unpivot n on * into name counter value n)"""
+)
+def curate_to_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines in several files, in input order, through the whole funnel into chat records as JSON lines; the counters."""
+    from hunkmill import schemas, workspace
+
+    fields = [f.name for f in schemas.REVIEW_COMMENT.fields]
+    rows = load(spark, sf_dir, "review_comments")
+    top = rows.agg(F.max("delivery_id").alias("m")).first().m or 0
+    paths, cuts = [], [top * k // 3 for k in range(4)]
+    for k in range(3):
+        part = rows.where((F.col("delivery_id") > (cuts[k] if k else -1)) & (F.col("delivery_id") <= cuts[k + 1]))
+        paths.append(workspace.scratch_path(spark, "raw"))
+        jsonl.overwrite(part.orderBy("delivery_id").select(*fields), paths[-1])
+    counts = curate_files(spark, paths, workspace.scratch_path(spark, "curated"), curation.MIN_SCORE)
+    return spark.createDataFrame(sorted(counts.items()), "counter string, n bigint")

@@ -20,7 +20,7 @@ def scan(spark: SparkSession, paths: list[str], schema: T.StructType, strict: bo
     """
     frames = []
     for k, path in enumerate(paths):
-        lines = spark.read.text(path)
+        lines = spark.read.text(current(spark, path))
         place = lines.select(
             F.lit(k).alias("file_idx"),
             F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("offset"),
@@ -48,20 +48,28 @@ def overwrite(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """Where the rows of a replaced table are: the path, or what was moved away if a writer ended between its two renames."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return f"{path}.old" if not fs.exists(jpath(path)) and fs.exists(jpath(f"{path}.old")) else path
+
+
 def replace_atomically(rows: DataFrame, path: str) -> None:
-    """Write beside the target, then swap by renames; readers see the old rows or the new ones.
+    """Write beside the target, then swap by two renames; :func:`current` finds the old rows or the new ones at any time.
 
-    On an object store without atomic renames use the ledger's manifest instead.
+    A writer that ends between the renames leaves the old rows where :func:`current` finds them, and the next
+    one goes on from there.  On an object store without atomic renames use the ledger's manifests instead.
     """
     spark = rows.sparkSession
     staged, old = f"{path}.tmp", f"{path}.old"
     rows.write.mode("overwrite").json(staged)
     jpath = spark._jvm.org.apache.hadoop.fs.Path
     fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    workspace.drop_path(spark, old)
-    if fs.exists(jpath(path)) and not fs.rename(jpath(path), jpath(old)):
-        raise OSError(f"can't move {path} away")
+    if fs.exists(jpath(path)):
+        workspace.drop_path(spark, old)
+        if not fs.rename(jpath(path), jpath(old)):
+            raise OSError(f"can't move {path} away")
     if not fs.rename(jpath(staged), jpath(path)):
-        fs.rename(jpath(old), jpath(path))
         raise OSError(f"can't move {staged} into place")
     workspace.drop_path(spark, old)

@@ -8,9 +8,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hunkmill import workspace
+from hunkmill.sources.forge import Folder
+
 CONFIG_FIELDS = {
     "hidden_size": "int", "num_hidden_layers": "int", "num_attention_heads": "int", "num_key_value_heads": "int", "head_dim": "int",
     "intermediate_size": "int", "vocab_size": "int", "full_attention_interval": "int", "linear_num_key_heads": "int",
@@ -73,20 +77,21 @@ def pair_adapters(weights: DataFrame, adapters: DataFrame) -> DataFrame:
 KINDS = {"F64": "<f8", "F32": "<f4", "F16": "<f2", "I64": "<i8", "I32": "<i4", "U32": "<u4", "U8": "u1"}
 
 
-def read_tensors(content: bytes, prefix: str = "") -> Iterator[tuple[str, list[int], np.ndarray]]:
-    """(name, shape, numbers) of a safetensors file whose names start with the prefix; others aren't decoded."""
-    (size,) = struct.unpack_from("<Q", content)
-    header = json.loads(content[8 : 8 + size])
-    for name in sorted(header):
-        if name == "__metadata__" or not name.startswith(prefix):
-            continue
-        entry = header[name]
-        a, b = (8 + size + x for x in entry["data_offsets"])
-        if entry["dtype"] == "BF16":
-            data = (np.frombuffer(content[a:b], "<u2").astype("<u4") << 16).view("<f4")
-        else:
-            data = np.frombuffer(content[a:b], KINDS[entry["dtype"]])
-        yield name, entry["shape"], data
+def decode(content: bytes, dtype: str) -> np.ndarray:
+    """The numbers of one tensor's bytes."""
+    if dtype == "BF16":
+        return (np.frombuffer(content, "<u2").astype("<u4") << 16).view("<f4")
+    return np.frombuffer(content, KINDS[dtype])
+
+
+def entries(header: bytes, size: int, prefix: str = "") -> Iterator[tuple[str, list[int], str, int, int]]:
+    """(name, shape, dtype, first byte, number of bytes) of the tensors whose names start with the prefix, by a file's header."""
+    listed = json.loads(header)
+    for name in sorted(listed):
+        if name != "__metadata__" and name.startswith(prefix):
+            entry = listed[name]
+            first, end = entry["data_offsets"]
+            yield name, entry["shape"], entry["dtype"], 8 + size + first, end - first
 
 
 def write_tensors(tensors: dict[str, np.ndarray]) -> bytes:
@@ -102,16 +107,71 @@ def write_tensors(tensors: dict[str, np.ndarray]) -> bytes:
     return struct.pack("<Q", len(text)) + text + b"".join(blobs)
 
 
+PLACED = "path string, name string, shape array<int>, dtype string, first bigint, bytes bigint"
+
+
+def list_tensors(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
+    """(path, name, shape, dtype, first, bytes) of all tensors in the ``*.safetensors`` shards of a folder: only headers are read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.safetensors").load(folder).select("path")
+
+    def headers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for path in frame["path"]:
+                with _opened(path) as f:
+                    (size,) = struct.unpack("<Q", f.read(8))
+                    rows += [(path, *entry) for entry in entries(f.read(size), size, prefix)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PLACED.split(", ")])
+
+    return files.mapInPandas(headers, PLACED)
+
+
 def scan_tensors(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame:
-    """(name, shape, tensor) of all ``*.safetensors`` shards of a folder, one task per file."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.safetensors").load(folder).select("content")
+    """(name, shape, tensor) of the tensors whose names start with the prefix.
 
-    def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    The names are chosen by the shards' headers; then the tensors are spread over the tasks, and each reads
+    its own ranges of bytes, so neither a shard's size nor other tensors matter.  Dense single precision.
+    """
+    placed = workspace.keep(list_tensors(spark, folder, prefix), "tensors")
+    tasks = max(1, min(placed.count(), 4 * spark.sparkContext.defaultParallelism))
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(n, s, d.astype("f4")) for content in frame["content"] for n, s, d in read_tensors(content, prefix)]
-            yield pd.DataFrame(rows, columns=["name", "shape", "tensor"])
+            for t in frame.itertuples():  # one tensor at a time is in memory
+                with _opened(t.path) as f:
+                    f.seek(t.first)
+                    numbers = decode(f.read(t.bytes), t.dtype).astype("f4")
+                yield pd.DataFrame({"name": [t.name], "shape": [t.shape], "tensor": [numbers]})
+
+    return placed.repartition(tasks, "path", "first").mapInPandas(read, "name string, shape array<int>, tensor array<float>")
+
+
+def _opened(path: str):
+    """A file that can be read from any place on, wherever pyarrow finds it."""
+    fs, name = arrow_fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+    return fs.open_input_file(name)
+
+
+# The fields of an adapter's configuration that loaders read.
+ADAPTER_CONFIG = {"peft_type": "LORA", "auto_mapping": None, "lora_dropout": 0.0, "bias": "none", "task_type": "CAUSAL_LM", "inference_mode": True}
+
+
+def adapter_config(names: list[str], base: str, rank: int, alpha: float) -> dict:
+    """The configuration beside an adapter's matrices: what it adapts, by the last part of the weights' names."""
+    stems = [n.removesuffix(".weight").removesuffix(".lora_A").removesuffix(".lora_B") for n in names]
+    return ADAPTER_CONFIG | {"base_model_name_or_path": base, "r": rank, "lora_alpha": alpha, "target_modules": sorted({s.rsplit(".", 1)[-1] for s in stems})}
+
 
-    return files.mapInPandas(decode, "name string, shape array<int>, tensor array<float>")
+def save_adapter(folder: str, layers: dict[str, tuple[np.ndarray, np.ndarray]], base: str, alpha: float) -> None:
+    """``adapter_model.safetensors`` and ``adapter_config.json`` of the matrices A and B by the weights they belong to."""
+    tensors, rank = {}, 0
+    for weight, (a, b) in layers.items():
+        stem = f"base_model.model.{weight.removesuffix('.weight')}"
+        tensors |= {f"{stem}.lora_A.weight": a, f"{stem}.lora_B.weight": b}
+        rank = a.shape[0]
+    target = Folder(folder)
+    target.write("adapter_model.safetensors", write_tensors(tensors))
+    target.write("adapter_config.json", json.dumps(adapter_config(list(tensors), base, rank, alpha), indent=2).encode())
 
 
 def tokenizer_columns(texts: Column, path: str) -> Column:

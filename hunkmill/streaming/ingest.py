@@ -15,11 +15,24 @@ from hunkmill.operators.limiter import Limiter
 from hunkmill.registry import query
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """A table's Parquet files as a stream."""
-    schema = workspace.load(spark, sf_dir, name).schema
-    # as a pattern, the path may be a folder or a single file
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{sf_dir}/{name}.parque[t]")
+#: Files that a table is cut into, and so micro-batches of the streams over it.
+FILES = 4
+
+
+def stream_table(spark: SparkSession, sf_dir: str, name: str, at: str, files_per_trigger: int = 1) -> DataFrame:
+    """A table as a stream of files that hold later and later rows, one micro-batch each.
+
+    The file source takes files by their time of change, which is set in the order of the ranges.
+    """
+    table = workspace.load(spark, sf_dir, name)
+    path = workspace.scratch_path(spark, f"{name}-stream")
+    table.repartitionByRange(FILES, at).write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted(f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    for k, file in enumerate(files):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(file), 1_700_000_000_000 + 1000 * k, -1)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def first_in_watermark(stream: DataFrame, keys: list[str], at: str, delay: str) -> DataFrame:
@@ -88,17 +101,17 @@ def drain(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(out)
 
 
-@query("select distinct user_id, event_type from events")
+@query("select distinct user_id, event_type, date_trunc('day', ts) as day from events")
 def dedup_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each pair once; the delay spans the whole table, so the result is that of a distinct."""
-    events = stream_table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    return drain(first_in_watermark(events, ["user_id", "event_type"], "at", "400 days"), "dedup").select("user_id", "event_type")
+    """Each pair once a day; its repeats come within the delay, and the state of past days is dropped."""
+    events = stream_table(spark, sf_dir, "events", "ts").withColumn("at", F.col("ts").cast("timestamp")).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    return drain(first_in_watermark(events, ["user_id", "event_type", "day"], "at", "2 days"), "dedup").select("user_id", "event_type", "day")
 
 
 @query("select date_trunc('day', ts) as day, event_type, count(*) as n from events group by 1, 2")
 def tumbling_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In update mode every window's last state is its count."""
-    events = stream_table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    events = stream_table(spark, sf_dir, "events", "ts").withColumn("at", F.col("ts").cast("timestamp"))
     states = drain(tumbling_counts(events, "at", "1 day", "1 day", "event_type"), "windows", "update")
     last = states.groupBy("window.start", "event_type").agg(F.max_by("n", "batch").alias("n"))
     return last.select(F.col("start").cast("timestamp_ntz").alias("day"), "event_type", "n")
@@ -123,7 +136,7 @@ def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_into_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review comments streamed into a ledger; the winners."""
     root, check = workspace.scratch_path(spark, "live-ledger"), workspace.scratch_path(spark, "live-check")
-    comments = stream_table(spark, sf_dir, "review_comments").select("id", "delivery_id", "updated_at", "ingested_at")
+    comments = stream_table(spark, sf_dir, "review_comments", "ingested_at").select("id", "delivery_id", "updated_at", "ingested_at")
     writer = into_ledger(comments, root, "id", "delivery_id", "updated_at", "ingested_at")
     writer.option("checkpointLocation", check).trigger(availableNow=True).start().awaitTermination()
     return DeliveryLedger(spark, root).winners().select("id", "delivery_id")
@@ -132,7 +145,7 @@ def stream_into_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def live_limiter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The streaming twin of ``limiter_fold``; the test compares both."""
-    events = stream_table(spark, sf_dir, "events")
+    events = stream_table(spark, sf_dir, "events", "ts")
     answers = events.select("user_id", "ts", "event_id", (F.abs("value") / 1000).alias("rtt"), (F.col("event_type") != "error").alias("ok"))
     states = drain(live_limits(answers), "limits", "update")
     return states.groupBy("user_id").agg(F.max_by("answers", "batch").alias("answers"), F.max_by("limit", "batch").alias("limit"))

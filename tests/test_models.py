@@ -179,6 +179,20 @@ def test_lora_merge_and_tensor_files(spark, tmp_path):
     (tmp_path / "other.bin").write_bytes(b"no")
     rows = models.scan_tensors(spark, str(tmp_path), "x.").collect()
     assert [(r.name, r.shape, r.tensor) for r in rows] == [("x.one", [2, 3], [0, 1, 2, 3, 4, 5])]
+    assert [(r.name, r.bytes) for r in models.list_tensors(spark, str(tmp_path)).orderBy("name").collect()] == [("x.one", 24), ("y.two", 4)]
+    models.save_adapter(str(tmp_path / "lora"), {"model.layers.0.self_attn.q_proj.weight": (a, b)}, "base", 64.0)
+    made = json.loads((tmp_path / "lora" / "adapter_config.json").read_text())
+    assert (made["r"], made["lora_alpha"], made["target_modules"], made["peft_type"]) == (2, 64.0, ["q_proj"], "LORA")
+    names = [r.name for r in models.scan_tensors(spark, str(tmp_path / "lora")).collect()]
+    assert sorted(names) == [f"base_model.model.model.layers.0.self_attn.q_proj.lora_{m}.weight" for m in "AB"]
+
+
+def test_learning_rate(spark):
+    from hunkmill.operators import examples
+
+    df = spark.range(11).select(examples.learning_rate_share(F.col("id"), F.lit(10), F.lit(2)).alias("x"))
+    got = [r.x for r in df.collect()]
+    assert got[:3] == [0.0, 0.5, 1.0] and got[6] == pytest.approx(0.5) and got[10] == pytest.approx(0.0) and got[3:] == sorted(got[3:], reverse=True)
 
 
 def test_compare(spark):

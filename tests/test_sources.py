@@ -114,6 +114,13 @@ def test_atomic_replacement(spark, tmp_path):
         jsonl.replace_atomically(spark.range(n), path)
         assert spark.read.json(path).count() == n
     assert [p.name for p in tmp_path.iterdir()] == ["store"]
+    # a writer that ended between its renames
+    (tmp_path / "store").rename(tmp_path / "store.old")
+    assert jsonl.current(spark, path) == path + ".old"
+    assert spark.read.json(jsonl.current(spark, path)).count() == 2
+    jsonl.replace_atomically(spark.range(3), path)
+    assert jsonl.current(spark, path) == path and spark.read.json(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["store"]
 
 
 def test_curate_files(spark, tmp_path):
