@@ -109,7 +109,7 @@ def length_batches(rows: DataFrame, key: str, length: str, size: int, accumulate
     """
     from hunkmill.operators.findings import number_rows
 
-    hashed = rows.select(key, length, F.struct(F.xxhash64(F.col(key), F.lit(seed)).alias("h"), F.col(key).alias("k")).alias("order"))
+    hashed = rows.select(key, length, F.struct(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(seed))).alias("h"), F.col(key).alias("k")).alias("order"))
     numbered = number_rows(hashed, "order", "n")
     mega = F.floor((F.col("n") - 1) / (size * accumulate)).alias("mega")
     place = F.row_number().over(W.partitionBy("mega").orderBy(F.desc_nulls_last(length), "order"))
@@ -183,9 +183,11 @@ def recent_holdout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hold_out_recent(load(spark, sf_dir, "pr_meta").select("repo", "number", "fetched_at"), "fetched_at", 0.1)
 
 
-@query()
+@query(
+    """with n as (select doc_id, n_chars, row_number() over (order by md5(doc_id || '-1'), doc_id) as n from documents), m as (select *, (n - 1) // 32 as mega from n)
+    select doc_id, n_chars, mega, (row_number() over (partition by mega order by n_chars desc nulls last, n))::integer as slot from m"""
+)
 def length_group_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The order is that of Spark's xxhash64, which the other engine lacks; tested against a model."""
     return length_batches(load(spark, sf_dir, "documents"), "doc_id", "n_chars", 8, 4)
 
 

@@ -120,14 +120,15 @@ def settled_limits(rows: DataFrame, by: str, order: list[str], rtt: Column, ok:
     return slim.repartition(by).sortWithinPartitions(by, *order).mapInArrow(run, f"{by} {kind}, answers int, limit bigint")
 
 
-@query(
-    """with recursive a as (select user_id, row_number() over (partition by user_id order by ts, event_id) as k, count(*) over (partition by user_id) as n,
+FOLD_SQL = """with recursive a as (select user_id, row_number() over (partition by user_id order by ts, event_id) as k, count(*) over (partition by user_id) as n,
       greatest(abs(value) / 1000, 1e-6) as rtt, event_type <> 'error' as ok from events),
     f as (select user_id, 0::bigint as k, 2::double as lim, 'infinity'::double as fastest from (select distinct user_id from events)
       union all select f.user_id, a.k, least(greatest(case when ok then lim * least(greatest(least(fastest, rtt) / rtt, 0.5), 1) + sqrt(lim) else lim * 0.8 end, 1), 32),
         case when ok then least(fastest, rtt) else fastest end from f join a on a.user_id = f.user_id and a.k = f.k + 1)
     select f.user_id, n::integer as answers, floor(lim)::bigint as limit from f join (select distinct user_id, n from a) using (user_id) where k = n"""
-)
+
+
+@query(FOLD_SQL)
 def limiter_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One controller per user of the event table; values stand in for milliseconds."""
     rows = load(spark, sf_dir, "events")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hunkmill import schemas, workspace
+from hunkmill.operators import curation
 from hunkmill.registry import query
 from hunkmill.sources import forge, jsonl, models
 from hunkmill.workspace import load
@@ -167,7 +168,10 @@ def tensor_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("name", "w", F.coalesce(F.col("a").cast("bigint"), eight).alias("a"), F.coalesce(F.col("b").cast("bigint"), eight).alias("b"), F.col("a").isNotNull().alias("adapted"))
 
 
-@query()
+@query(
+    f"""with {curation.FUNNEL_CTE}, n as (select count(*) as seen, {", ".join(f"count(*) filter (where reason = '{r}') as {r}" for r in curation.REASONS)} from funnel)
+    select counter, n::bigint as n from (unpivot n on * into name counter value n)"""
+)
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The funnel's counters, observed while the records are written."""
     from hunkmill.plans.pipelines import curate

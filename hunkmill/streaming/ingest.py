@@ -11,7 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from hunkmill import workspace
 from hunkmill.operators.deliveries import DeliveryLedger
-from hunkmill.operators.limiter import Limiter
+from hunkmill.operators.limiter import FOLD_SQL, Limiter
 from hunkmill.registry import query
 
 
@@ -142,9 +142,9 @@ def stream_into_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DeliveryLedger(spark, root).winners().select("id", "delivery_id")
 
 
-@query()
+@query(FOLD_SQL.replace("n::integer", "n::bigint"))
 def live_limiter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming twin of ``limiter_fold``; the test compares both."""
+    """The streaming twin of ``limiter_fold``, over several micro-batches."""
     events = stream_table(spark, sf_dir, "events", "ts")
     answers = events.select("user_id", "ts", "event_id", (F.abs("value") / 1000).alias("rtt"), (F.col("event_type") != "error").alias("ok"))
     states = drain(live_limits(answers), "limits", "update")
