@@ -15,6 +15,7 @@ from hunkmill.operators import diffs
 from hunkmill.registry import query
 from hunkmill.workspace import load
 
+# The elements' class names, which readers' own styles rely on; the style itself is this module's.
 CSS = (
     "body{font:14px/1.5 system-ui,sans-serif;max-width:60rem;margin:2rem auto}table.hunk{border-collapse:collapse;width:100%;font-family:monospace}"
     ".add{background:#e6ffec}.del{background:#ffebe9}.lno{color:#6e7781;text-align:right}.cmt{border-left:3px solid #8c959f;padding:.2rem .6rem}"
@@ -98,7 +99,7 @@ def warning_html(failures: int) -> str:
     """The notice on hunks that failed; empty without any."""
     if not failures:
         return ""
-    return f'<div class="banner warn">⚠ {failures} hunk(s) failed to review after retry — this report is <b>incomplete</b>. A missing finding may have been the real one.</div>\n'
+    return f'<div class="banner warn">⚠ The review of {failures} hunk(s) failed, also when tried again; findings may be missing below.</div>\n'
 
 
 def hunk_tables(lines: DataFrame) -> DataFrame:
