@@ -1,10 +1,11 @@
 """Capping the records of dominant contributors by radix selection.
 
-Score and identifier become one order-preserving byte string.  For each contributor above the
-limit the cutoff is found one byte at a time: count the contributor's candidates by their next
-byte, take the byte in which the limit falls, go on among the rows that share it.  A last
-comparison with the cutoff then splits the records; nothing is sorted, and no contributor's rows
-ever meet in one task.
+Score and identifier become order-preserving bytes, four and as many as the identifiers need.  For each
+contributor above the limit the cutoff is found one byte at a time: count the contributor's candidates by
+their next byte and take the byte in which the limit falls.  Records before it stay, those behind it go by
+that comparison, and only those that share it, the cutoff's prefix so far, are read again for the next byte.
+Nothing is sorted, and no contributor's rows ever meet in one task: counts combine on the map side, and a
+contributor has at most 256 of them a byte.  Cutoffs are tables, broadcast only where few.
 
 Defined results:
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from hunkmill import workspace
 from hunkmill.llm import spellings
@@ -52,74 +54,53 @@ def _float_bits(score: Column) -> Column:
     return plain + F.when(score < 0, F.lit(2**31)).otherwise(F.lit(0))
 
 
+#: Contributors whose cutoffs may be broadcast: a name and two numbers each.
+BROADCAST_CUTOFFS = 100_000
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """Marked for broadcast if its counted rows are few enough; else as it is."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_CUTOFFS else rows
+
+
 def beyond_cap(records: DataFrame, limit: int, who: str, score: str, ident: str) -> DataFrame:
     """The ``ident`` of every record beyond the ``limit`` best of its contributor.
 
-    Only contributors above the limit enter the selection; they are fewer than rows / limit, so
-    with a limit that is a share of all rows their number is bounded by one over the share, and
-    their cutoffs fit the driver and a broadcast.
+    Only contributors above the limit enter the selection, however many they are.  After each byte the rows that
+    are still undecided are written; they are those that share the bytes fixed so far.
     """
-    spark = records.sparkSession
     slim = records.select(F.col(who).alias("who"), F.col(ident).alias("ident"), F.col(score).cast("float").alias("score"))
     slim = slim.where(F.col("who").isNotNull())
-    heavy = slim.groupBy("who").agg(F.count("*").alias("n")).where(F.col("n") > limit)
     empty = records.select(ident).where(F.lit(False))
-    found = workspace.keep(heavy, "heavy")
-    if found.isEmpty():
+    heavy = workspace.keep(slim.groupBy("who").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("who"), "heavy")
+    if heavy.isEmpty():
         return empty
     span = slim.agg(F.min("ident").alias("lo"), F.max("ident").alias("hi")).first()
     base, top = (span.lo, span.hi) if span.lo is not None else (0, 0)
     # one past the largest stands for a null identifier
     id_bytes = max(1, -(-((top - base + 1).bit_length()) // 8))
-    code = F.lpad(F.hex(descending_code(F.col("score"))), 2 * SCORE_BYTES, "0")
-    tail = F.lpad(F.hex(F.coalesce(F.col("ident") - base, F.lit(top - base + 1))), 2 * id_bytes, "0")
-    keyed = workspace.keep(
-        slim.join(found.select("who"), "who", "left_semi").select("who", "ident", F.concat(code, tail).alias("code")), "keyed"
-    )
-    # contributor -> (digits fixed so far, places still free among the rows that share them)
-    state = {r.who: ("", limit) for r in found.collect()}
-    done: dict[str, str] = {}
-    for place in range(SCORE_BYTES + id_bytes):
-        if not state:
-            break
-        fixed = spark.createDataFrame([(w, p) for w, (p, _) in state.items()], "who string, prefix string")
-        here = keyed.join(F.broadcast(fixed), "who").where(F.col("code").startswith(F.col("prefix")))
-        digit = F.substring("code", 2 * place + 1, 2).alias("digit")
-        counts: dict[str, list] = {}
-        for r in here.groupBy("who", digit).agg(F.count("*").alias("n")).collect():  # at most 256 rows a contributor
-            counts.setdefault(r.who, []).append((r.digit, r.n))
-        for w, found_digits in counts.items():
-            prefix, free = state[w]
-            for d, n in sorted(found_digits):
-                if n > free:
-                    break
-                free -= n
-            else:
-                done[w] = prefix + "FF"  # all of them fit
-                del state[w]
-                continue
-            if free == 0:
-                done[w] = prefix + d  # the digit's bucket and all behind it go
-                del state[w]
-            else:
-                state[w] = (prefix + d, free)
+    place = F.coalesce(F.col("ident") - base, F.lit(top - base + 1)).alias("place")
+    live = workspace.keep(slim.join(_few(heavy), "who", "left_semi").select("who", "ident", descending_code(F.col("score")).alias("code"), place), "live")
+    free = heavy.select("who", F.lit(limit).cast("bigint").alias("free"))
+    gone = empty.select(F.col(ident).alias("ident"))
+    digits = [("code", k) for k in reversed(range(SCORE_BYTES))] + [("place", k) for k in reversed(range(id_bytes))]
+    for column, k in digits:
+        digit = F.shiftright(column, 8 * k).bitwiseAND(F.lit(255))
+        counts = live.groupBy("who", digit.alias("digit")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(W.partitionBy("who").orderBy("digit").rowsBetween(W.unboundedPreceding, 0))  # 256 rows at most
+        here = counts.join(_few(free), "who").withColumn("upto", upto).where((F.col("upto") > F.col("free")) & (F.col("upto") - F.col("n") <= F.col("free")))
+        cut = workspace.keep(here.select("who", F.col("digit").alias("cut"), (F.col("free") - F.col("upto") + F.col("n")).alias("left")), "cut")
+        met = live.join(_few(cut), "who").withColumn("digit", digit)
+        behind = (F.col("digit") > F.col("cut")) | ((F.col("digit") == F.col("cut")) & (F.col("left") == 0))
+        gone = gone.unionByName(met.where(behind).select("ident"))
+        live = workspace.keep(met.where((F.col("digit") == F.col("cut")) & (F.col("left") > 0)).select("who", "ident", "code", "place"), "live")
+        free = cut.where("left > 0").select("who", F.col("left").alias("free"))
+        if free.isEmpty():
+            return gone.withColumnRenamed("ident", ident)
     # rows left here are equal in score and identifier: repeated rows, of which any may stay
-    tied = {w: (p, free) for w, (p, free) in state.items()}
-    cut = spark.createDataFrame(
-        [(w, p, None) for w, p in done.items()] + [(w, p, f) for w, (p, f) in tied.items()],
-        "who string, cutoff string, free bigint",
-    )
-    judged = keyed.join(F.broadcast(cut), "who")
-    gone = judged.where(F.col("free").isNull() & (F.substring("code", 1, F.length("cutoff")) >= F.col("cutoff"))).select("ident")
-    behind = judged.where(F.col("free").isNotNull() & (F.col("code") > F.col("cutoff"))).select("ident")
-    gone = gone.unionByName(behind)
-    if tied:
-        same = judged.where(F.col("free").isNotNull() & (F.col("code") == F.col("cutoff")))
-        extra = same.groupBy("who", "ident", "free").agg(F.count("*").alias("n"))
-        gone = gone.unionByName(
-            extra.select("ident", F.explode(F.sequence(F.lit(1), (F.col("n") - F.col("free")).cast("int"))).alias("k")).select("ident")
-        )
-    return gone.withColumnRenamed("ident", ident)
+    same = live.join(_few(free), "who").groupBy("who", "ident", "free").agg(F.count("*").alias("n"))
+    extra = same.select("ident", F.explode(F.sequence(F.lit(1), (F.col("n") - F.col("free")).cast("int"))).alias("k")).select("ident")
+    return gone.unionByName(extra).withColumnRenamed("ident", ident)
 
 
 def contributors(records: DataFrame, comments: DataFrame) -> DataFrame:

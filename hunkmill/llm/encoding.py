@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -174,12 +175,18 @@ def _encoded(batches: Iterator[pa.RecordBatch], shared, id_column: str) -> Itera
         )
 
 
+@cache
+def _made(path: str) -> tuple[list[bytes], tuple[np.ndarray, np.ndarray]]:
+    """The tokens of a vocabulary file and the pairs they were merged from, made once in a driver."""
+    tokens = read_ranks(path)
+    made = Vocabulary(tokens)
+    return tokens, (made.left, made.right)
+
+
 def encode_texts(documents: DataFrame, vocabulary: str = VOCABULARY, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """(ident, ids) of every document."""
     sc = documents.sparkSession.sparkContext
-    tokens = read_ranks(vocabulary)
-    made = Vocabulary(tokens)
-    shared = sc.broadcast((tokens, (made.left, made.right)))
+    shared = sc.broadcast(_made(vocabulary))
     kind = documents.schema[ident].dataType.simpleString()
     slim = documents.select(ident, documents[text].alias("text"))
     return slim.mapInArrow(lambda it: _encoded(it, shared, ident), f"`{ident}` {kind}, ids array<int>")

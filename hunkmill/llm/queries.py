@@ -31,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": splits.P1_SQL, "p2_found": caps.P2_SQL, "p4_found": neardup.P4_SQL, "p7_verbatim": leaks.VERBATIM_SQL} | looks.oracle_sql()
+    return {"p1_found": splits.P1_SQL, "p1_splits": splits.P1_SPLITS_SQL, "p2_found": caps.P2_SQL, "p4_found": neardup.P4_SQL, "p7_verbatim": leaks.VERBATIM_SQL} | looks.oracle_sql()

@@ -135,37 +135,49 @@ def related_groups(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     return member.where("id >= 0").join(label, "root").select("id", "group_id"), forest
 
 
-#: Slices of a size band; only their totals are added up along one window.
-SLICES = 256
+def persist_forest(forest: DataFrame, path: str) -> DataFrame:
+    """The spanning forest as a table that outlives the application, at a path of the caller's."""
+    forest.write.mode("overwrite").parquet(path)
+    return forest.sparkSession.read.schema(forest.schema).parquet(path)
+
+
+#: Groups that one window takes in, about: slices of a size band are as many as that asks for.
+SLICE_GROUPS = 4096
+GOLDEN = 0.6180339887498949
 
 
 def deal(groups: DataFrame, shares: dict[str, int], seed: int = 7) -> DataFrame:
     """(id, group_id, split): whole groups dealt to splits in the given per-mille ``shares``.
 
-    Groups are laid end to end on a line, the largest size band first, inside a band in hashed
-    order.  The middle of a group, at the golden-ratio step of its place, says its split; so every
-    band meets the shares by itself.  The order is made of band and hash slice, whose totals are
-    at most 64 x ``SLICES`` rows; within a slice a window runs over the slice's groups only.
+    Groups are laid end to end on a line, the largest size band first, inside a band in hashed order.  The middle
+    of a group, in golden-ratio steps of its band's size, falls into a part of the unit, which is parted by the
+    shares, and so says its split; every band meets the shares by itself, one of few large groups as nearly as they allow.
+    The order is made of band and the hash's first digits, whose totals are added up along one window, a row for
+    about ``SLICE_GROUPS`` groups; within such a slice a window runs over its groups only.
     """
     sizes = groups.groupBy("group_id").agg(F.count("*").alias("size"))
     placed = sizes.select(
         "group_id",
         "size",
         F.floor(F.log2("size")).cast("int").alias("band"),
-        F.xxhash64("group_id", F.lit(seed)).alias("h"),
-    ).withColumn("slice", F.pmod("h", F.lit(SLICES)).cast("int"))
-    totals = placed.groupBy("band", "slice").agg(F.sum("size").alias("total"), F.count("*").alias("n"))
+        F.md5(F.concat_ws("-", F.col("group_id").cast("string"), F.lit(seed))).alias("h"),
+    )
+    placed = workspace.keep(placed, "placed")
+    count, digits = placed.count(), 1
+    while count > SLICE_GROUPS * 16**digits:
+        digits += 1
+    placed = placed.withColumn("slice", F.left("h", F.lit(digits)))
+    totals = placed.groupBy("band", "slice").agg(F.sum("size").alias("total"))
     before = F.sum("total").over(W.orderBy(F.desc("band"), "slice").rowsBetween(W.unboundedPreceding, -1))
     offsets = totals.select("band", "slice", F.coalesce(before, F.lit(0)).alias("offset"))
     inner = F.sum("size").over(W.partitionBy("band", "slice").orderBy("h", "group_id").rowsBetween(W.unboundedPreceding, 0))
     line = placed.withColumn("end", inner).join(offsets, ["band", "slice"])
     middle = F.col("offset") + F.col("end") - F.col("size") / 2.0
-    # systematic: the line is walked in cycles of a thousandth of all records, or of one group if that is longer
-    cycle = F.greatest(F.lit(groups.count() / 1000.0), F.pow(F.lit(2.0), F.col("band")) * 10)
-    spot = F.pmod(middle / cycle, F.lit(1.0)) * 1000
-    total, split, upto = sum(shares.values()), None, 0
+    # systematic: the golden ratio's multiples fill the unit evenly, and no size of groups keeps step with them
+    spot = F.pmod(middle / F.pow(F.lit(2.0), F.col("band")) * GOLDEN, F.lit(1.0)) * 1000
+    whole, split, upto = sum(shares.values()), None, 0
     for name, share in shares.items():
-        upto += share * 1000 / total
+        upto += share * 1000 / whole
         split = F.when(spot < upto, name) if split is None else split.when(spot < upto, name)
     dealt = line.select("group_id", split.otherwise(list(shares)[-1]).alias("split"))
     return groups.join(dealt, "group_id").select("id", "group_id", "split")
@@ -209,3 +221,13 @@ cc(id, g) using key (id) as (
   select e.b, min(n.g) from cc n join both_ways e on e.a = n.id join recurring.cc o on o.id = e.b where n.g < o.g group by e.b)
 select id, g as group_id from cc
 """
+GROUPS_SQL = P1_SQL.rstrip().removesuffix("select id, g as group_id from cc").rstrip()
+P1_SPLITS_SQL = GROUPS_SQL + """,
+sizes as (select g, count(*) as size from cc group by 1),
+placed as (select *, floor(log2(size))::integer as band, md5(g || '-7') as h from sizes),
+line as (select *, (sum(size) over (order by band desc, h, g))::double - size / 2.0::double as middle from placed),
+spots as (select g, (middle / pow(2.0, band) * 0.6180339887498949::double) % 1.0::double * 1000 as spot from line),
+shares as (select max(per_mille) filter (where setting = 'train_share') as a, max(per_mille) filter (where setting = 'validation_share') as b, max(per_mille) filter (where setting = 'test_share') as c from curation_settings)
+select id, g as group_id, case when spot < a * 1000 / (a + b + c) then 'train' when spot < (a + b) * 1000 / (a + b + c) then 'validation' else 'test' end as split
+from cc join spots using (g), shares
+"""
