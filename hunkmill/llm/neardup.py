@@ -12,12 +12,18 @@ Comments with equal bags are one class, represented by its smallest identifier,
 formed, so exact copies cost nothing.  The bands are joined, not collected, and pairs are written
 only where they are results.
 
+The bands are joined some at a time (``SLICE``), with lengths and bitmaps in the rows, so chance meetings,
+which grow with the square of the corpus, end inside the join and are never written; the shuffle files of
+one slice go before the next.
+
 A band that many classes share (many bodies on one hunk, or a stock body on like hunks) would pair all of
-them.  Such hot bands are found by their share of a sample of classes and leave the join; their members
-are searched by prefix filtering instead, which is exact: two bags that share four fifths of the longer
-one's elements also share one of the first ``n // 5 + 1`` elements of either in any common order, here
-rare ones first.  This holds for the body and for the hunk, so each member looks only on the side whose
-first elements are rarer, among all members' first elements of that side.
+them.  Such hot bands are found by their share of a sample of classes.  If they are worth it, they leave the
+join, and their members are searched by prefix filtering instead, which is exact: two bags that share four
+fifths of the longer one's elements also share one of the first ``n // 5 + 1`` elements of either in any
+common order, here rare ones first.  This holds for the body and for the hunk, so each member looks only on
+the side whose first elements are rarer, among all members' first elements of that side.  Both ways' meetings
+are counted (of many members, for a sample) before either is taken: where many members have few words between
+them, prefixes meet more often.
 
 With both texts at the threshold (four fifths of equally long bags, Jaccard 2/3) a band agrees with
 probability (2/3)^5 = 0.132, so ``BANDS`` = 36 bands miss 0.6 % of such pairs; where one text shares
@@ -35,6 +41,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +59,10 @@ BITMAPS = (128, 256)
 #: A band is hot if, of one class in ``HOT_SAMPLE``, at least ``HOT_SEEN`` have it: if about 256 classes share it.
 #: Either way of search is complete, so the sample decides on cost only.
 HOT_SAMPLE, HOT_SEEN = 64, 4
+#: Of more members of hot bands than that, about so many are searched by prefixes first, to see what all would take.
+HOT_TRIED = 4096
+#: Bands that are joined at a time.
+SLICE = 6
 #: An element that makes up at least one in so many of all counted ones is broadcast with its count: so many rows at most.
 COMMON = 1000
 #: At least this many fifths of the longer text's words must be shared.
@@ -163,6 +174,10 @@ def _signed(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in SIGNED.split(", ")])
 
 
+def _keep(df: DataFrame, label: str) -> DataFrame:
+    return workspace.keep(df, label, tidy=True)
+
+
 def _few(rows: DataFrame) -> DataFrame:
     """Marked for broadcast if its counted rows, of a few numbers each, are few enough; else as it is."""
     return F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
@@ -176,7 +191,7 @@ def signatures(comments: DataFrame, bands: int = BANDS) -> DataFrame:
     stamped = comments.where("id is not null").select("id", instant_us(F.col("updated_at")).alias("at_us"), "delivery_id")
     won = stamped.groupBy("id").agg(F.max(preference(F.col("at_us"), F.col("delivery_id"))).alias("best"))
     lost = stamped.select("delivery_id").join(won.select((-F.col("best.order")).alias("delivery_id")), "delivery_id", "left_anti")
-    lost = workspace.keep(lost, "lost")
+    lost = _keep(lost, "lost")
     texts = comments.where("id is not null").select("id", "delivery_id", "body", "diff_hunk")
     kept = texts.join(_few(lost), "delivery_id", "left_anti").select("id", "delivery_id", "body", "diff_hunk")
     return kept.mapInArrow(lambda it: _signed(it, bands), SIGNED)
@@ -205,79 +220,107 @@ def _fits(n_a: str, n_b: str) -> F.Column:
 
 def _bags_of(comments: DataFrame, single: DataFrame, ids: DataFrame, label: str) -> DataFrame:
     """(id, body_bag, hunk_bag) of the classes with these identifiers; only the small side is shuffled if it is small."""
-    wanted = workspace.keep(single.select("id", "delivery_id").join(ids, "id", "left_semi"), "wanted")
+    wanted = _keep(single.select("id", "delivery_id").join(ids, "id", "left_semi"), "wanted")
     texts = comments.select("delivery_id", "body", "diff_hunk").join(_few(wanted), "delivery_id").dropDuplicates(["delivery_id"])
     made = texts.select("id", "body", "diff_hunk").mapInArrow(_bagged, "id bigint, body_bag array<bigint>, hunk_bag array<bigint>")
-    return workspace.keep(made, label)
+    return _keep(made, label)
 
 
-def prefix_pairs(bag: DataFrame) -> DataFrame:
+def prefix_pairs(bag: DataFrame, most: int | None = None) -> DataFrame | None:
     """(a, b), a < b: pairs among the given bags that prefix filtering can't rule out; no similar pair is missing.
+    None if that takes at least ``most`` meetings.
 
     An element's count combines on the map side, and the few common ones are broadcast, so no element's
     rows meet in one task before the search itself.
     """
     flat = bag.select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("bag")) for k, c in ((0, "body_bag"), (1, "hunk_bag"))])).alias("s"))
     flat = flat.select("id", "s.side", F.size("s.bag").alias("n"), F.explode("s.bag").alias("element"))
-    counts = workspace.keep(flat.groupBy("side", "element").agg(F.count("*").alias("often")), "elements")
+    counts = _keep(flat.groupBy("side", "element").agg(F.count("*").alias("often")), "elements")
     total = counts.agg(F.sum("often").alias("t")).first().t or 0
     common = F.broadcast(counts.where(F.col("often") >= max(total / COMMON, 2)))
     rest = flat.join(common, ["side", "element"], "left_anti").join(counts.where(F.col("often") < max(total / COMMON, 2)), ["side", "element"])
     counted = flat.join(common, ["side", "element"]).unionByName(rest)
     at = F.row_number().over(W.partitionBy("id", "side").orderBy("often", "element"))  # one text's elements
-    first = workspace.keep(counted.withColumn("at", at).where("at <= n div 5 + 1").drop("at"), "prefixes")
+    first = _keep(counted.withColumn("at", at).where("at <= n div 5 + 1").drop("at"), "prefixes")
     cost = first.groupBy("id", "side").agg(F.sum("often").alias("cost")).groupBy("id").agg(F.min(F.struct("cost", "side")).alias("c"))
     probe = first.join(cost.select("id", F.col("c.side").alias("side")), ["id", "side"])
+    if most is not None:
+        looks = _keep(probe.groupBy("side", "element").agg(F.count("*").alias("m")), "looks")
+        met_by = looks.join(first.groupBy("side", "element").agg(F.count("*").alias("n")), ["side", "element"])
+        if (_keep(met_by, "meetings").agg(F.sum(F.col("m") * F.col("n")).alias("t")).first().t or 0) >= most:
+            return None
     one, two = probe.select("side", "element", F.col("id").alias("p"), F.col("n").alias("n_p")), first.select("side", "element", F.col("id").alias("q"), F.col("n").alias("n_q"))
     met = one.join(two, ["side", "element"]).where(_fits("n_p", "n_q") & (F.col("p") != F.col("q")))
     return met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
 
 
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows twice, for a pair's two sides: ``id`` is a or b, sketches have the side's letter at the end."""
+    return tuple(rows.toDF(*(x if c == "id" else c if c == "key" else f"{c}_{x}" for c in rows.columns)) for x in "ab")
+
+
+def _possible() -> F.Column:
+    """Whether the lengths and bitmaps of a pair's two sides leave it possible that they are alike."""
+    found = F.lit(True)
+    for field, words in zip(("body", "hunk"), PARITY, strict=True):
+        differ = sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words)
+        n_a, n_b = f"{field}_n_a", f"{field}_n_b"
+        found = found & _fits(n_a, n_b) & ((F.col(n_a) + F.col(n_b) - differ) * 5 >= 2 * FIFTHS * F.greatest(n_a, n_b))
+    return found
+
+
+def _hot_pairs(single: DataFrame, comments: DataFrame, hot: DataFrame) -> DataFrame | None:
+    """(a, b): what a prefix search among the members of hot bands finds; None if joining the bands takes fewer meetings."""
+    within = single.select(F.explode("bands").alias("key"), "id").join(_few(hot), "key", "left_semi")
+    shared = _keep(within.groupBy("key").agg(F.count("*").alias("n")), "hot-counts")
+    joined = shared.agg(F.sum(F.expr("n * (n - 1) div 2")).alias("t")).first().t or 0
+    members = _keep(within.select("id").distinct(), "members")
+    every = max(1, members.count() // HOT_TRIED)
+    if every > 1:  # meetings grow with the square of the members
+        some = members.where(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(every)) == 0)
+        if prefix_pairs(_bags_of(comments, single, some, "hot-bags"), max(1, joined // every**2)) is None:
+            return None
+    return prefix_pairs(_bags_of(comments, single, members, "hot-bags"), joined)
+
+
 def candidates_of(single: DataFrame, comments: DataFrame) -> DataFrame:
-    """(a, b), a < b: the classes that share a band, those of hot bands by :func:`prefix_pairs`."""
-    # the lengths travel with the bands, so most chance meetings end inside the join
-    size = F.least("body_n", F.lit(65535)).cast("bigint") * 65536 + F.least("hunk_n", F.lit(65535)) - 2**31
-    keys = single.select(F.explode("bands").alias("key"), "id", size.cast("int").alias("size"))
+    """(a, b), a < b: the classes that share a band, those of hot bands by :func:`prefix_pairs` if that takes
+    less, and whose lengths and bitmaps leave it possible that they are alike."""
+    sketch = ["id", "body_n", "hunk_n", *PARITY[0], *PARITY[1]]
     sample = single.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(HOT_SAMPLE)) == 0).select(F.explode("bands").alias("key"))
-    hot = workspace.keep(sample.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_SEEN).select("key"), "hot")
-    if hot.isEmpty():
-        cold, hot_pairs = keys, None
-    else:
-        few = _few(hot)
-        cold = keys.join(few, "key", "left_anti")
-        members = workspace.keep(keys.join(few, "key", "left_semi").select("id").distinct(), "members")
-        hot_pairs = prefix_pairs(_bags_of(comments, single, members, "hot-bags"))
-    met = cold.toDF("key", "a", "size_a").join(cold.toDF("key", "b", "size_b"), "key").where("a < b")
-    for part in (lambda c: F.shiftright(F.col(c) + 2**31, 16), lambda c: (F.col(c) + 2**31).bitwiseAND(F.lit(65535))):
-        met = met.where(_fits(part("size_a"), part("size_b")))
-    met = met.select("a", "b")
-    return (met if hot_pairs is None else met.unionByName(hot_pairs)).distinct()
+    hot = _keep(sample.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_SEEN).select("key"), "hot")
+    hot_pairs = None if hot.isEmpty() else _hot_pairs(single, comments, hot)
+    found = []
+    if hot_pairs is not None:
+        a, b = _sides(single.select(sketch))
+        found.append(_keep(hot_pairs.join(a, "a").join(b, "b").where(_possible()).select("a", "b"), "near"))
+    for k in range(0, BANDS, SLICE):
+        keys = single.select(F.explode(F.slice("bands", k + 1, SLICE)).alias("key"), *sketch)
+        if hot_pairs is not None:
+            keys = keys.join(_few(hot), "key", "left_anti")
+        a, b = _sides(keys)
+        found.append(_keep(a.join(b, "key").where((F.col("a") < F.col("b")) & _possible()).select("a", "b"), "near"))
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def near_pairs(comments: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs, classes): verified pairs (rep_a, rep_b) of representatives, and (id, rep) of all comments
     with words in both fields."""
-    signed = workspace.keep(signatures(comments), "signatures")
+    signed = _keep(signatures(comments), "signatures")
     reps = signed.groupBy("cls_a", "cls_b").agg(F.min("id").alias("rep"))
     named = signed.select("id", "cls_a", "cls_b").join(reps, ["cls_a", "cls_b"])
-    classes = workspace.keep(named.select("id", "rep").distinct(), "classes")
-    copies = workspace.keep(classes.where("id <> rep").select("id"), "copies")
-    single = signed.join(_few(copies), "id", "left_anti")
-
-    sketch = single.select("id", "body_n", "hunk_n", *PARITY[0], *PARITY[1])
-    a = sketch.toDF(*("a" if c == "id" else f"{c}_a" for c in sketch.columns))
-    b = sketch.toDF(*("b" if c == "id" else f"{c}_b" for c in sketch.columns))
-    near = candidates_of(single, comments).join(a, "a").join(b, "b")
-    for field, words in zip(("body", "hunk"), PARITY, strict=True):
-        differ = sum(F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words)
-        n_a, n_b = f"{field}_n_a", f"{field}_n_b"
-        near = near.where(_fits(n_a, n_b) & ((F.col(n_a) + F.col(n_b) - differ) * 5 >= 2 * FIFTHS * F.greatest(n_a, n_b)))
-    near = workspace.keep(near.select("a", "b").distinct(), "near")  # rows may be repeated
+    classes = _keep(named.select("id", "rep").distinct(), "classes")
+    copies = _keep(classes.where("id <> rep").select("id"), "copies")
+    single = signed
+    if not copies.isEmpty():
+        single = _keep(signed.join(_few(copies), "id", "left_anti"), "single")
+        workspace.forget(signed)
+    near = _keep(candidates_of(single, comments), "near")  # rows may be repeated
 
     bag = _bags_of(comments, single, near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "bags")
     measured = near.join(bag.toDF("a", "body_a", "hunk_a"), "a").join(bag.toDF("b", "body_b", "hunk_b"), "b")
     alike = measured.where(_alike("body_a", "body_b") & _alike("hunk_a", "hunk_b"))
-    return workspace.keep(alike.select(F.col("a").alias("rep_a"), F.col("b").alias("rep_b")), "pairs"), classes
+    return _keep(alike.select(F.col("a").alias("rep_a"), F.col("b").alias("rep_b")), "pairs"), classes
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:

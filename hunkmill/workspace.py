@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}
+#: The session's setting by which a query's shuffle files are removed at its end.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,13 +89,21 @@ def where_once(df: DataFrame, condition: Column) -> DataFrame:
     return df.select(F.explode(F.when(condition, F.array(F.struct("*")))).alias("r")).select("r.*")
 
 
-def keep(df: DataFrame, label: str, partitions: int | None = None) -> DataFrame:
+def keep(df: DataFrame, label: str, partitions: int | None = None, tidy: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and return a DataFrame that reads it back.
 
-    The result has no lineage to the inputs.  ``partitions`` only merges tasks.
+    The result has no lineage to the inputs.  ``partitions`` only merges tasks.  ``tidy`` removes the write's
+    shuffle files when it is over; else they stay until the driver happens to collect its garbage.
     """
-    path = scratch_path(df.sparkSession, label)
-    (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    path, conf = scratch_path(df.sparkSession, label), df.sparkSession.conf
+    before = conf.get(TIDY, None)
+    if tidy:
+        conf.set(TIDY, "true")
+    try:
+        (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    finally:
+        if tidy:
+            conf.unset(TIDY) if before is None else conf.set(TIDY, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

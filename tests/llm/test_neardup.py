@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -168,3 +169,44 @@ def test_parity_bitmaps_bound_what_bags_share():
             words = [neardup._parity(x, np.array([len(x)]), bits) for x in (a, b)]
             differ = sum(int(x[0] ^ y[0]).bit_count() for x, y in zip(*words, strict=True))
             assert n + m - differ >= 2 * shared
+
+
+def test_chance_meetings_of_a_stock_body_are_not_written(spark, monkeypatch):
+    rng = random.Random(5)
+    hunks = [" ".join(rng.choices([f"v{k}" for k in range(40)], k=12)) for _ in range(600)]
+    hunks += [edited(rng, h, 1) for h in hunks[:60]]
+    rows = [(k, k, "2024-01-01T00:00:00Z", "Good point, changed.", h, "", 0) for k, h in enumerate(hunks)]
+    search, written = neardup.candidates_of, []
+
+    def counted(*given):
+        out = neardup.workspace.keep(search(*given), "counted")
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "candidates_of", counted)
+    got, expected = set(found(spark, rows)), brute(rows)
+    assert got <= expected and len(expected - got) <= 0.01 * len(expected) and len(expected) >= 40
+    assert written[0] <= 2 * len(expected)  # of some 50,000 pairs that share a band
+
+
+def test_prefix_search_is_left_if_it_meets_more_than_the_bands(spark):
+    rows = [(k, [1, 2, k % 5], [3, 4, k % 7]) for k in range(100)]
+    bag_ = spark.createDataFrame(rows, "id bigint, body_bag array<bigint>, hunk_bag array<bigint>")
+    assert neardup.prefix_pairs(bag_, 1) is None
+    assert neardup.prefix_pairs(bag_, 10**6).count() == neardup.prefix_pairs(bag_).count() > 0
+
+
+def test_tidy_tables_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return set(filter(lambda b: b.startswith("shuffle_"), disk.getAllBlocks().mkString(" ").split()))
+
+    before, setting = shuffled(), spark.conf.get(neardup.workspace.TIDY, None)
+    kept = neardup.workspace.keep(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "sums", tidy=True)
+    for _ in range(50):  # the files go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before and spark.conf.get(neardup.workspace.TIDY, None) == setting
+    assert kept.count() == 7
